@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postings.llm.near_dedup import near_duplicates
 from postings.llm.passages import drop_repeats
+from postings.llm.quality_rules import quality_rules
 from postings.llm.token_files import token_files
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,12 +66,40 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
+OP8_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), win AS (
+  SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)
+), twice AS (SELECT doc_id, s FROM win GROUP BY doc_id, s HAVING count(*) > 1
+), rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM win JOIN twice USING (doc_id, s), range(0, 3) AS r(o) GROUP BY doc_id
+), b AS (
+  SELECT w.doc_id, text, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id
+), f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 5 * n_lines
+    OR 100 * n_repeat_words > 30 * n_words OR length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > 0.4 * word_chars
+    OR 5 * (length(text) - length(replace(text, '!', ''))) > n_words OR 10 * length(regexp_replace(text, '[^\p{L}]', '', 'g')) < 7 * word_chars) AS kept
+FROM f
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_files": op2_token_files,
     "op4_substring_dedup": op4_substring_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1_SQL,
     "op4_substring_dedup": OP4_SQL,
+    "op8_quality_rules": OP8_SQL,
 }

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Java and RE2 class for what separates words: space, tab, \n, \v, \f, \r (bytes.split() splits on the same six).
@@ -88,13 +89,34 @@ def windows(h: np.ndarray, k: int) -> np.ndarray:
     return mix64(out)
 
 
+def key_bits(keys: DataFrame, count: int) -> np.ndarray:
+    """A bit set of the keys' low bits: 16 bits a key, from 128 KB to 16 MB however many they are.
+
+    It only spares the shuffle rows that can't match; a full one lets more through to the join.
+    """
+    size = 1 << min(27, max(20, (16 * max(1, count) - 1).bit_length()))
+    place = F.col("key").bitwiseAND(F.lit(size - 1))
+    found = keys.select(place.alias("p")).groupBy(F.floor(F.col("p") / 32768).alias("bucket"))
+    found = found.agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for bucket, part in found.collect():  # at most size / 32768 rows of 4 KB
+        bits[bucket * 4096 : (bucket + 1) * 4096] = np.frombuffer(part, np.uint8)
+    return bits
+
+
+def with_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit keys have their bit set."""
+    bit = keys & np.uint64(len(bits) * 8 - 1)
+    return (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return tuple(row)
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """Connected components of links ``(a, b)`` of longs: ``(node, component)``, the smallest node of each.
+    """Connected components of links ``(a, b)`` of any ordered type: ``(node, component)``, the smallest node of each.
 
     Alternating large-star and small-star rounds: every round is two aggregations (combined
     before the shuffle, so a hub costs one row per task) and two equi-joins that adaptive
@@ -125,3 +147,48 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError(f"components: not settled after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None, pivots: int = 3) -> DataFrame:
+    """Components (node, component) of the confirmed links among candidates that share a bucket.
+
+    ``members`` has (key, node) of buckets of two or more, ``nodes`` has a row a node with what
+    ``likely(x, y)`` compares (a cheap condition on aliases x and y that no link may violate),
+    ``confirm`` returns those of pairs (a, b) that are links; ``links`` are given in advance.
+
+    Every bucket first tests all members against its smallest one. A few more rounds test a
+    random member of each bucket that still has several classes against members of other
+    classes; then only members of different classes are tested pairwise. A bucket of copies,
+    however large, thus costs a few tests a member, and no link between candidates is lost.
+    """
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        x, y = nodes.alias("x"), nodes.alias("y")
+        both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(likely("x", "y"))
+        return materialize(confirm(both.select("a", "b")), "links")
+
+    hubs = members.groupBy("key").agg(F.min("node").alias("a"))
+    stars = members.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    first = tested(stars)
+    found = components(first if links is None else first.unionByName(links))
+    left = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key"), "key")
+    for turn in range(pivots + 1):
+        classed = left.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+        mixed = classed.groupBy("key").agg(
+            F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "class")).alias("pivot")
+        )
+        mixed = mixed.where("lo <> hi").select("key", F.col("pivot.node").alias("a"), F.col("pivot.class").alias("pivot_class"))
+        open_ = materialize(classed.join(mixed, "key"), "open")
+        if open_.isEmpty():
+            break
+        left = open_.select("key", "node")
+        if turn < pivots:
+            more = tested(open_.where("class <> pivot_class").select("a", F.col("node").alias("b")).distinct())
+        else:
+            z = open_.select("key", "node", "class").join(nodes, "node")
+            x, y = z.alias("x"), z.alias("y")
+            alike = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & likely("x", "y")
+            more = materialize(confirm(x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()), "links")
+        if not more.isEmpty():
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    return found

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, components, materialize, mix64, windows
+from postings.llm.common import WordHash, classes, materialize, mix64, windows
 
 #: 32 bands of 5 coordinates: a pair of similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6.
 BANDS, ROWS = 32, 5
@@ -58,6 +59,14 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """The lowest two bits of each coordinate, 32 coordinates to a 64-bit word."""
+    n, size = signatures.shape
+    bits = np.zeros((n, -(-size // 32) * 32), np.uint64)
+    bits[:, :size] = signatures & np.uint32(3)
+    return (bits.reshape(n, -1, 32) << np.arange(0, 64, 2, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
 def _ints(lists: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
     flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
@@ -65,7 +74,7 @@ def _ints(lists: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of each row of docs(doc_id, text)."""
+    """(doc_id, n_shingles, digest, bands, sketch) of each row of docs(doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,13 +90,14 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 sizes.append(len(s))
                 digests.append(digest)
                 which.append(known[digest])
-            keys = band_keys(np.array(found, np.uint32).reshape(len(found), bands * rows), bands, rows)
+            drawn = np.array(found, np.uint32).reshape(len(found), bands * rows)
+            keys, short = band_keys(drawn, bands, rows), sketches(drawn)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _ints([keys[i] for i in which])],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _ints([keys[i] for i in which]), _ints([short[i] for i in which])],
+                ["doc_id", "n_shingles", "digest", "bands", "sketch"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -115,6 +125,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def plausible(size: int, percent: int, x: str, y: str) -> Column:
+    """Whether two documents' sizes and sketches allow a similarity of ``percent``.
+
+    Sketch entries of such a pair differ with probability 0.75 * (1 - similarity) at most; more
+    than six standard deviations above that are ruled out (one such pair in 10**9).
+    """
+    p = 0.75 * (1 - percent / 100)
+    most = math.ceil(size * p + 6 * math.sqrt(size * p * (1 - p)))
+    n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    differ = F.lit(0)
+    for i in range(-(-size // 32)):
+        d = F.get(F.col(f"{x}.sketch"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{y}.sketch"), F.lit(i)))
+        differ = differ + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differ <= most)
+
+
 def near_duplicates(
     df: DataFrame,
     *,
@@ -128,10 +154,8 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) of each row of ``df``.
 
     Documents of equal shingle sets collapse first (a 128-bit digest, combined before the
-    shuffle). Each band bucket then tests all members against its smallest one; what these
-    links join counts as one class, and only members of different classes of a bucket are
-    tested pairwise in a second round. A bucket of copies, however large, thus costs one test
-    a member, and no link between candidates is lost. Links are confirmed on full sets.
+    shuffle). Documents that share a band bucket are candidates; ``classes`` tests them without
+    making all pairs of a bucket and without losing a link. Links are confirmed on full sets.
 
     Null or wordless text: no shingles, linked with nothing. A null id: linked with nothing,
     component null, kept. Repeated ids are one document, linked if any of its rows links, and
@@ -140,38 +164,22 @@ def near_duplicates(
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(signatures(docs, k, bands, rows), "signatures")
     full = signed.where("n_shingles > 0 and doc_id is not null")
-    first = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r"), F.max("doc_id").alias("last"))
+    first = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("r"), F.max("doc_id").alias("last"))
     reps = materialize(first.select("digest", "last", "r.*"), "representatives")
-    buckets = reps.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = materialize(buckets.join(hubs, "key").select("key", "hub", "members", "doc_id", "n_shingles"), "members")
-
-    stars = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = materialize(stars, "candidates")
-    wanted = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id"))).distinct()
+    buckets = reps.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = materialize(buckets.join(shared, "key").select("key", "node"), "members")
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
     sets = materialize(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), k), "sets")
     several = full.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id")
     same = full.join(several, "doc_id").join(reps.select("digest", F.col("doc_id").alias("b")), "digest").select(F.col("doc_id").alias("a"), "b")
-    links = materialize(confirmed(stars, sets, percent).unionByName(same), "links")
-    found = components(links)
-
-    classed = members.where("members > 2").join(found, members["doc_id"] == found["node"], "left")
-    classed = classed.select("key", "hub", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("class"))
-    several = classed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("key")
-    open_ = classed.join(several, "key").where("doc_id <> hub")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(y, F.col("x.key") == F.col("y.key"))
-        .where("x.class < y.class")
-        .where(f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)")
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
+    found = classes(
+        members,
+        reps.select(F.col("doc_id").alias("node"), "n_shingles", "sketch"),
+        lambda x, y: plausible(bands * rows, percent, x, y),
+        lambda pairs: confirmed(pairs, sets, percent),
+        same,
     )
-    rest = materialize(rest, "rest")
-    if not rest.isEmpty():
-        more = materialize(confirmed(rest, sets, percent), "more")
-        if not more.isEmpty():
-            found = components(links.unionByName(more))
 
     # every document to its representative, every representative to its component
     copies = full.join(reps.where("last > doc_id").select("digest", F.col("doc_id").alias("rep")), "digest")

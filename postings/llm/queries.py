@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postings.llm.chat import rotate
+from postings.llm.decontaminate import flag_contaminated
+from postings.llm.line_dedup import dedup_lines
+from postings.llm.mixing import mix
 from postings.llm.near_dedup import near_duplicates
 from postings.llm.passages import drop_repeats
+from postings.llm.quality_classifier import fit, quality_scores
 from postings.llm.quality_rules import quality_rules
 from postings.llm.token_files import token_files
+from postings.llm.toxicity import fit as fit_toxicity
+from postings.llm.toxicity import toxicity_scores
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,6 +54,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeats(table(spark, sf_dir, "documents"), k=13)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -92,14 +104,75 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+def op5_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["stop"].cast("string"))), ",")
+    return rotate(table(spark, sf_dir, "conversations")).withColumn("mask", spans)
+
+
+OP5_SQL = """
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations
+), t AS (
+  SELECT r.*, perspective, CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
+    ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
+  FROM r JOIN (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM r WHERE speaker <> 'system') ON c = conv_id
+), p AS (
+  SELECT *, head || body || '<|end|>' || chr(10) AS piece,
+    sum(length(head) + length(body) + 8) OVER (PARTITION BY conv_id, perspective ORDER BY turn, speaker, body ROWS UNBOUNDED PRECEDING) - (length(head) + length(body) + 8) AS start
+  FROM t
+), s AS (SELECT *, start // 32768 AS segment, start - min(start) OVER (PARTITION BY conv_id, perspective, start // 32768) AS off FROM p)
+SELECT conv_id, perspective, segment::BIGINT AS segment, arg_min(turn, start) AS first_turn, count(*) AS n_turns, string_agg(piece, '' ORDER BY start) AS text,
+  coalesce(string_agg((off + length(head))::BIGINT || '-' || (off + length(piece) - 1)::BIGINT, ',' ORDER BY start) FILTER (speaker = perspective), '') AS mask
+FROM s GROUP BY ALL
+"""
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit(docs, table(spark, sf_dir, "labels"), "quality"))
+
+
+def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = """
+WITH n AS (SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.7) AS w FROM documents GROUP BY source
+), r AS (SELECT source, w / (SELECT sum(w) FROM n) * (SELECT sum(n) FROM n) / n AS rate FROM n
+), c AS (
+  SELECT source, k, sum(exp(-rate) * pow(rate, k) / gamma(k + 1)) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS cdf
+  FROM r, range(0, 200) AS g(k) WHERE k <= rate + 12 * sqrt(rate) + 20
+), u AS (SELECT *, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents
+), d AS (SELECT u.* EXCLUDE (u), (SELECT count(*) FROM c WHERE c.source IS NOT DISTINCT FROM u.source AND cdf <= u.u) AS copies FROM u)
+SELECT * EXCLUDE (copies), md5('mix-1:order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || mix_copy) AS mix_key
+FROM (SELECT *, unnest(range(1, copies + 1))::INT AS mix_copy FROM d WHERE copies > 0)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_files": op2_token_files,
+    "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_chat_perspectives": op5_chat_perspectives,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_poisson_mixing": op10_poisson_mixing,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1_SQL,
     "op4_substring_dedup": OP4_SQL,
+    "op5_chat_perspectives": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op10_poisson_mixing": OP10_SQL,
 }

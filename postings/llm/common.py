@@ -149,7 +149,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None, pivots: int = 3) -> DataFrame:
+def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None, rest: Callable[[DataFrame], DataFrame] | None = None, pivots: int = 3) -> DataFrame:
     """Components (node, component) of the confirmed links among candidates that share a bucket.
 
     ``members`` has (key, node) of buckets of two or more, ``nodes`` has a row a node with what
@@ -158,8 +158,10 @@ def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], C
 
     Every bucket first tests all members against its smallest one. A few more rounds test a
     random member of each bucket that still has several classes against members of other
-    classes; then only members of different classes are tested pairwise. A bucket of copies,
-    however large, thus costs a few tests a member, and no link between candidates is lost.
+    classes; then only members of different classes are tested pairwise: those that ``likely``
+    allows, or those that ``rest`` makes of (key, node, class, a, pivot_class), where a is the
+    smallest node of the bucket. A bucket of copies, however large, thus costs a few tests a
+    member, and no link between candidates is lost.
     """
 
     def tested(pairs: DataFrame) -> DataFrame:
@@ -174,9 +176,9 @@ def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], C
     left = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key"), "key")
     for turn in range(pivots + 1):
         classed = left.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
-        mixed = classed.groupBy("key").agg(
-            F.min("class").alias("lo"), F.max("class").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "class")).alias("pivot")
-        )
+        order = F.xxhash64("node", F.lit(turn)) if turn < pivots else F.lit(0)
+        pivot = F.min(F.struct(order.alias("order"), "node", "class")).alias("pivot")
+        mixed = classed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), pivot)
         mixed = mixed.where("lo <> hi").select("key", F.col("pivot.node").alias("a"), F.col("pivot.class").alias("pivot_class"))
         open_ = materialize(classed.join(mixed, "key"), "open")
         if open_.isEmpty():
@@ -188,7 +190,8 @@ def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], C
             z = open_.select("key", "node", "class").join(nodes, "node")
             x, y = z.alias("x"), z.alias("y")
             alike = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & likely("x", "y")
-            more = materialize(confirm(x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()), "links")
+            pairs = x.join(y, alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct() if rest is None else rest(open_)
+            more = materialize(confirm(pairs), "links")
         if not more.isEmpty():
             found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     return found

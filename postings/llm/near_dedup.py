@@ -125,6 +125,41 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def unsettled(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different classes that share a bucket and that sets allow to be links.
+
+    All members of a bucket are compared with its smallest one, h. What a member has besides h
+    is its extra. Two sets without a common extra share at most what each shares with h, so
+    such a pair is only made if both lie so close to h that this still suffices; all other
+    pairs are found by a join on their rarest extras. This is exact and avoids testing each
+    member on the edge of a large group against the whole group.
+    """
+    near = open_.select(F.col("a").alias("h"), "node", "class").distinct()
+    mine, base = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("s")), sets.select(F.col("doc_id").alias("h"), F.col("shingles").alias("t"))
+    extra = F.array_except("s", "t")
+    near = near.join(mine, "node").join(base, "h").select("h", "node", "class", F.size("s").alias("n"), extra.alias("extra"), (F.size("s") - F.size(extra)).alias("same"))
+    near = materialize(near, "near")
+    least = near.groupBy("h").agg(F.min("n").alias("least"))
+    loose = near.drop("extra").join(least, "h").where(f"100 * same >= {percent} * (least + n - same)")
+    x, y = loose.alias("x"), loose.alias("y")
+    m = F.least("x.same", "y.same")
+    close = (F.col("x.h") == F.col("y.h")) & (F.col("x.class") < F.col("y.class")) & (100 * m >= percent * (F.col("x.n") + F.col("y.n") - m))
+    close = x.join(y, close).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    spread = near.select("h", "node", "class", "n", "same", F.explode("extra").alias("e"))
+    # u and v need so many common extras; a member's least need, over any partner, tells which of its
+    # extras may be left out: with the rarest first, one of the others would be common too
+    often = spread.groupBy("h", "e").agg(F.count(F.lit(1)).alias("often"))
+    ranked = spread.join(often, ["h", "e"]).groupBy("h", "node", "class", "n", "same").agg(F.sort_array(F.collect_list(F.struct("often", "e"))).alias("extra"))
+    need = F.greatest(F.lit(1), F.ceil(percent * (F.col("n") + F.col("least")) / (100 + percent)) - F.col("same"))
+    ranked = ranked.join(least, "h").withColumn("count", F.size("extra")).where(need <= F.col("count"))
+    first = ranked.select("h", "node", "class", "n", "same", "count", F.explode(F.slice("extra", F.lit(1), (F.col("count") - need + 1).cast("int"))).alias("e"))
+    x, y = first.alias("x"), first.alias("y")
+    needed = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent)) - m
+    common = (F.col("x.h") == F.col("y.h")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.class") < F.col("y.class")) & (needed <= F.least("x.count", "y.count"))
+    common = x.join(y, common).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return close.unionByName(common).distinct()
+
+
 def plausible(size: int, percent: int, x: str, y: str) -> Column:
     """Whether two documents' sizes and sketches allow a similarity of ``percent``.
 
@@ -179,6 +214,7 @@ def near_duplicates(
         lambda x, y: plausible(bands * rows, percent, x, y),
         lambda pairs: confirmed(pairs, sets, percent),
         same,
+        lambda open_: unsettled(open_, sets, percent),
     )
 
     # every document to its representative, every representative to its component

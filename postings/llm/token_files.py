@@ -14,6 +14,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -78,39 +79,78 @@ class TokenFile:
         return np.concatenate(got)[start - lo * self.block : stop - lo * self.block]
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that spells each byte in a byte-level vocabulary: printable Latin-1 itself, others from U+0100 on."""
+    plain = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+
+
 class Encoder:
     """Whole texts to little-endian 32-bit ids by a file of the tokenizers library.
 
-    A byte-level vocabulary's pre-tokens never reach over a space that follows a non-space, so
-    a text is cut there and each distinct piece is encoded once while the bounded cache holds
-    it. Texts where a space follows white space, or that spell a special token, are encoded in
-    one piece; both ways give the library's ids of the whole text.
+    The byte-level pre-tokens never reach over a space or a newline that stands between
+    non-spaces, nor over a point or comma after a letter. A text is cut there, and each distinct
+    piece is encoded once while the bounded cache holds it. Texts with two white-space
+    characters together, or that spell a special token, are encoded in one go. Both ways give
+    the library's ids of the whole text.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.cache = Tokenizer.from_file(path), most, {}
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s ", *special]))
+        self.whole = re.compile("|".join([r"\s\s", *special]))
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # the vocabulary spells a space and a newline as these letters; a token that begins so begins a piece
+        self.begins = np.zeros(1 << self.bits, bool)
+        self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t[0] in "\u0120\u010a"]] = True
+        self.tails = {c: self._one(c) for c in ".,"}
+        self.letters, self.split_word = byte_letters(), self.tokenizer.model.tokenize
+
+    def _one(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the pieces in the cache: most in one text, whose ids are cut where a piece begins."""
+        cache, tails = self.cache, self.tails
+        if len(cache) + len(pieces) > self.most:
+            cache.clear()
+        stems = {p[:-1] if p[-1:] in tails and p[-2:-1].isalpha() else p for p in pieces}
+        new = [p for p in stems if p not in cache]
+        for p in new:
+            if p.isalpha():  # one pre-token: straight to the merges
+                spelt = p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+                cache[p] = array("I", [t.id for t in self.split_word("\u0120" + spelt)]).tobytes()
+        joint = [p for p in new if p and not p.isalpha() and not p[-1].isspace()]
+        if joint:
+            ids = np.array(self.tokenizer.encode("".join(p if p[0] == "\n" else " " + p for p in joint), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.begins[ids]).tolist()
+            if len(cuts) == len(joint):
+                data = ids.tobytes()
+                cache.update((p, data[4 * a : 4 * b]) for p, a, b in zip(joint, cuts, [*cuts[1:], len(ids)], strict=True))
+        for p in new:
+            if p not in cache:
+                cache[p] = self._one(p if p[:1] == "\n" else " " + p)
+        for p in pieces:
+            if p not in cache:
+                cache[p] = cache[p[:-1]] + tails[p[-1]]
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         if self.whole.search(text):
-            return self._ids([text])[0]
-        first, *pieces = text.split(" ")
-        if missing := list(set(pieces).difference(self.cache)):
-            if len(self.cache) + len(missing) > self.most:
-                self.cache.clear()
-                missing = list(set(pieces))
-            self.cache.update(zip(missing, self._ids([" " + p for p in missing]), strict=True))
-        return (self._ids([first])[0] if first else b"") + b"".join(map(self.cache.__getitem__, pieces))
+            return self._one(text)
+        first, *pieces = text.replace("\n", " \n").split(" ")
+        got = list(map(self.cache.get, pieces))
+        if None in got:
+            new = {p for p, g in zip(pieces, got, strict=True) if g is None}
+            self._learn(new)
+            cache = self.cache
+            got = [cache[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+        return (self._one(first) if first else b"") + b"".join(got)
 
 
 def encoder(path: str) -> Encoder:

@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, train_rows: int = TRA
 
 
 def quality_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, bits: int = BITS, keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row, whole texts, with the columns in ``keep`` besides.
+    """(doc_id, held_out, score, predicted) of each row, whole texts, with the columns in ``keep`` as ``keep_*`` besides.
 
     Null and empty texts get the score of no n-gram at all. Null and repeated ids are scored
     like others (a null id isn't held out); an empty table gives an empty result.
@@ -121,5 +121,5 @@ def quality_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_
     schema = docs.select("doc_id", F.lit(0.0).alias("score"), *(f"keep_{c}" for c in keep)).schema
     scored = docs.mapInArrow(run, schema)
     return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(F.col(f"keep_{c}") for c in keep)
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(f"keep_{c}" for c in keep)
     )

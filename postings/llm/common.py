@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Java and RE2 class for what separates words: space, tab, \n, \v, \f, \r (bytes.split() splits on the same six).
@@ -110,9 +110,11 @@ def with_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, and their number and hash sum, observed while they are written."""
+    seen = Observation()
+    table = materialize(links.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "links")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -123,25 +125,17 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     execution can split at a hot hub. Rounds grow with the logarithm of the longest chain.
     Nodes without links aren't returned. Self links, repeated links and nulls are ignored.
     """
-    now = materialize(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
-    )
-    seen = _fingerprint(now)
+    now, seen = _written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     if not seen[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        now = materialize(
-            small.select("a", F.col("m").alias("b"))
-            .unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-            .distinct(),
-            "stars",
-        )
-        last, seen = seen, _fingerprint(now)
+        last = seen
+        now, seen = _written(small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
         if last == seen:
             break
     else:
@@ -149,15 +143,15 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None, rest: Callable[[DataFrame], DataFrame] | None = None, pivots: int = 3) -> DataFrame:
+def classes(members: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None, rest: Callable[[DataFrame], DataFrame] | None = None, pivots: int = 0) -> DataFrame:
     """Components (node, component) of the confirmed links among candidates that share a bucket.
 
     ``members`` has (key, node) of buckets of two or more, ``nodes`` has a row a node with what
     ``likely(x, y)`` compares (a cheap condition on aliases x and y that no link may violate),
     ``confirm`` returns those of pairs (a, b) that are links; ``links`` are given in advance.
 
-    Every bucket first tests all members against its smallest one. A few more rounds test a
-    random member of each bucket that still has several classes against members of other
+    Every bucket first tests all members against its smallest one. ``pivots`` more rounds may test
+    a random member of each bucket that still has several classes against members of other
     classes; then only members of different classes are tested pairwise: those that ``likely``
     allows, or those that ``rest`` makes of (key, node, class, a, pivot_class), where a is the
     smallest node of the bucket. A bucket of copies, however large, thus costs a few tests a

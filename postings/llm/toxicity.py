@@ -23,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.labelled import dual_coordinate_descent, held_out, platt, training_rows
+from postings.llm.labelled import dual_coordinate_descent, held_out, training_rows
 
 #: Characters of a unit at once (longer words are read in overlapping windows), widest span of a subsequence, decay.
 LONGEST, SPAN, DECAY = 16, 7, 0.7
 #: Labelled documents a class to learn from, landmarks, words of clean sentences to learn from.
-TRAIN_ROWS, LANDMARKS, CLEAN_WORDS = 3000, 96, 6000
+TRAIN_ROWS, LANDMARKS, CLEAN_WORDS = 3000, 600, 6000
 #: Different words before it, and after it, that a word of toxic sentences needs to be a positive unit.
 LEAST_CONTEXTS = 4
+#: A document's score is 0.7 at the margin that best parts held-back labelled ones, and rises with this slope.
+THRESHOLD, SLOPE = 0.7, 2.0
 _TRIPLES = np.array([t for t in combinations(range(LONGEST + 2), 3) if t[2] - t[0] < SPAN])
 _SPANS = (DECAY ** (_TRIPLES[:, 2] - _TRIPLES[:, 0] + 1)).astype(np.float32)
 _EDGES = ".,;:!?()[]{}\"'“”‘’«»…–—¡¿#$%&*|<>~^+=/\\@_-"
@@ -109,6 +111,12 @@ def joined(words: list[str]) -> list[str]:
     return out
 
 
+def disguised(word: str) -> list[str]:
+    """A word with a sign or its own letter put in at each place, and with signs between all letters."""
+    inner = [word[:i] + c + word[i:] for i in range(1, len(word)) for c in (".", word[i - 1])]
+    return [v for v in [*inner, ".".join(word), "-".join(word)] if len(v) <= LONGEST]
+
+
 def bare(word: str) -> str:
     return word.strip(_EDGES) or word
 
@@ -158,26 +166,28 @@ class Worst(dict):
         return out
 
 
-def _learn(units: list[str], y: np.ndarray, landmarks: list[str]) -> tuple[np.ndarray, float]:
+def _learn(units: list[str], y: np.ndarray, times: np.ndarray, landmarks: list[str]) -> tuple[np.ndarray, float]:
     """Support vectors over Nystroem features of the landmarks, folded into weights of subsequences."""
-    dims = 64**3
     lk, lw = subsequences(landmarks)
-    dense = np.zeros((len(landmarks), dims + 1), np.float32)
-    np.add.at(dense, (np.arange(len(landmarks))[:, None], lk), lw)
-    dense[:, -1] = 0
-    kernel = dense @ dense.T
-    values, vectors = np.linalg.eigh(kernel.astype(np.float64) + 1e-6 * np.eye(len(landmarks)))
-    root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
+    used = np.unique(lk[lk >= 0])
+    place = np.full(64**3 + 1, len(used))
+    place[used] = np.arange(len(used))
+    dense = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+    np.add.at(dense, (place[lk], np.arange(len(landmarks))[:, None]), lw)
+    dense[-1] = 0
+    values, vectors = np.linalg.eigh((dense.T @ dense).astype(np.float64))
+    root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
     k = np.empty((len(units), len(landmarks)))
-    for i in range(0, len(units), 2048):
-        keys, weights = subsequences(units[i : i + 2048])
-        k[i : i + 2048] = np.einsum("ujl,uj->ul", dense.T[keys], weights)
+    for i in range(0, len(units), 64):
+        keys, weights = subsequences(units[i : i + 64])
+        k[i : i + 64] = np.einsum("ujl,uj->ul", dense[place[keys]], weights)
     features = k @ root
     n, m = features.shape
-    share = np.array([(y < 0).mean(), (y > 0).mean()])
-    cost = np.where(y > 0, 10 * 0.5 / share[1], 10 * 0.5 / share[0])
-    w = dual_coordinate_descent(np.arange(n + 1) * m, np.tile(np.arange(m), n), features.ravel(), y, m, cost, rounds=30)
-    return (dense.T @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1])
+    cost = np.where(y > 0, 10.0, 20.0) * n * times / np.where(y > 0, times[y > 0].sum(), times[y < 0].sum())
+    w = dual_coordinate_descent(np.arange(n + 1) * m, np.tile(np.arange(m), n), features.ravel(), y, m, cost, rounds=60)
+    table = np.zeros(64**3 + 1, np.float32)
+    table[used] = dense[:-1] @ (root @ w[:-1]).astype(np.float32)
+    return table, float(w[-1])
 
 
 def _landmarks(units: list[str], most: int) -> list[str]:
@@ -200,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows:
     """A model from at most ``train_rows`` labelled documents a class.
 
     Distinct sentences take their document's label. Words that stand among several
-    different neighbours in toxic sentences and in no clean one are the positive units; words of clean
+    different neighbours in toxic sentences and in no clean one are the positive units, their
+    disguised spellings with a tenth of their weight; words of clean
     sentences are the negative ones, those that a first model takes for positive added in two
     further rounds. Three documents of ten only calibrate the score.
     """
@@ -228,23 +239,46 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows:
     some = sorted((w for w, n in around.items() if len({a for a, _ in n}) >= LEAST_CONTEXTS and len({b for _, b in n}) >= LEAST_CONTEXTS), key=lambda w: (-len(around[w]), w))
     if not some or not clean:
         return blank
-    positive = [p for w in some for p in pieces(w)]
+    some = [w for w in some if len(around[w]) >= 0.02 * len(around[some[0]])]
+    # a unit weighs as the root of how many places it was seen in
+    weighed = {p: np.sqrt(len(around[w]) / LEAST_CONTEXTS) for w in reversed(some) for p in pieces(w)}
+    seen = list(weighed)
+    for w in seen:
+        for v in disguised(w):
+            weighed.setdefault(v, 0.1 * weighed[w])
+    positive, times = list(weighed), list(weighed.values())
     clean_units = [p for w, _ in sorted(clean.items(), key=lambda r: (-r[1], r[0])) if len(w) >= 3 for p in pieces(w)]
     negative = clean_units[:clean_words]
-    chosen = _landmarks(positive, landmarks * 3 // 4) + _landmarks(negative[:1500], landmarks // 4)
+    hard = negative[:1500]
     for _ in range(3):
-        units = positive + negative
-        table, bias = _learn(units, np.array([1.0] * len(positive) + [-1.0] * len(negative)), chosen)
+        chosen = list(dict.fromkeys(_landmarks(seen[::-1], landmarks // 2) + _landmarks(hard, landmarks // 2)))
+        y_units = np.array([1.0] * len(positive) + [-1.0] * len(negative))
+        table, bias = _learn(positive + negative, y_units, np.array(times + [1.0] * len(negative)), chosen)
         model = Model(table, bias, 1.0, 0.0)
         margins = model.margins(clean_units)
-        hard = np.argsort(-margins)[:2000]
-        negative = list(dict.fromkeys(negative + [clean_units[i] for i in hard if margins[i] > -1]))
+        hard = [clean_units[i] for i in np.argsort(-margins, kind="stable")[:2000]]
+        negative = list(dict.fromkeys(negative + [u for u, m in zip(hard, np.sort(margins)[::-1], strict=False) if m > -1]))
     worst = np.array(Worst(model).of([t for t, f in zip(texts, fold, strict=True) if f]))
-    slope, offset = platt(worst, y[fold])
-    return Model(model.table, model.bias, slope, offset)
-
-
-def toxicity_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    cut = best_cut(worst, y[fold])
+    return Model(model.table, model.bias, SLOPE, float(np.log(THRESHOLD / (1 - THRESHOLD)) - SLOPE * cut))
+
+
+def best_cut(margins: np.ndarray, labels: np.ndarray) -> float:
+    """The margin that best parts the labels, a false alarm counting as three misses; the middle of a gap."""
+    order = np.argsort(margins, kind="stable")
+    m, hit = margins[order], labels[order] == 1
+    if hit.all() or not hit.any():
+        return 0.0
+    # before place i all are called 0, from it on 1
+    missed = np.concatenate([[0], np.cumsum(hit)]) / hit.sum()
+    alarms = 1 - np.concatenate([[0], np.cumsum(~hit)]) / (~hit).sum()
+    edge = np.concatenate([[m[0] - 1], (m[1:] + m[:-1]) / 2, [m[-1] + 1]])
+    cost = missed + 3 * alarms
+    cost[1:-1][m[1:] == m[:-1]] = np.inf
+    return float(edge[int(cost.argmin())])
+
+
+def toxicity_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row, whole texts.
 
     Null and empty texts get the score of no unit. Null and repeated ids are scored like others

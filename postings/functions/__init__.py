@@ -1,0 +1 @@
+"""Column functions: Column in, Column out."""

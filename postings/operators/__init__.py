@@ -1,0 +1 @@
+"""Operators: DataFrames and options in, a DataFrame out."""

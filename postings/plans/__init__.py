@@ -1,0 +1 @@
+"""Plans: exports made of several operators over one base."""

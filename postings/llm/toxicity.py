@@ -162,7 +162,7 @@ class Worst(dict):
                 self.clear()
                 new = list(set().union(*split))
             self.update(zip(new, self.model.margins(new).tolist(), strict=True))
-            out += [max(map(self.__getitem__, w), default=self.model.bias) for w in split]
+            out += [max(map(self.__getitem__, w), default=-np.inf) for w in split]
         return out
 
 
@@ -252,14 +252,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows:
     hard = negative[:1500]
     for _ in range(3):
         chosen = list(dict.fromkeys(_landmarks(seen[::-1], landmarks // 2) + _landmarks(hard, landmarks // 2)))
-        y_units = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        table, bias = _learn(positive + negative, y_units, np.array(times + [1.0] * len(negative)), chosen)
+        # the empty unit stands for all unknown ones: the bias alone must say no
+        units = ["", *positive, *negative]
+        y_units = np.array([-1.0] + [1.0] * len(positive) + [-1.0] * len(negative))
+        table, bias = _learn(units, y_units, np.array([50.0, *times] + [1.0] * len(negative)), chosen)
         model = Model(table, bias, 1.0, 0.0)
         margins = model.margins(clean_units)
         hard = [clean_units[i] for i in np.argsort(-margins, kind="stable")[:2000]]
         negative = list(dict.fromkeys(negative + [u for u, m in zip(hard, np.sort(margins)[::-1], strict=False) if m > -1]))
-    worst = np.array(Worst(model).of([t for t, f in zip(texts, fold, strict=True) if f]))
-    cut = best_cut(worst, y[fold])
+    worst = np.maximum(-30, Worst(model).of([t for t, f in zip(texts, fold, strict=True) if f]))
+    # a word of unknown subsequences has the bias for its margin: it must stay below
+    cut = max(best_cut(worst, y[fold]), model.bias + 0.25)
     return Model(model.table, model.bias, SLOPE, float(np.log(THRESHOLD / (1 - THRESHOLD)) - SLOPE * cut))
 
 
@@ -281,7 +284,7 @@ def best_cut(margins: np.ndarray, labels: np.ndarray) -> float:
 def toxicity_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row, whole texts.
 
-    Null and empty texts get the score of no unit. Null and repeated ids are scored like others
+    Null and empty texts score next to 0. Null and repeated ids are scored like others
     (a null id isn't held out); an empty table gives an empty result; other columns are ignored.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postings.functions import html, identity, redact, requirements, roles, salary, text
 from postings.operators import keyed, ledgers, quality
 from postings.plans import dataset
+from postings.sources import captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -497,6 +498,45 @@ def role_families(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", roles.role_family(F.concat_ws(" ", "p_name", "p_type")).alias("family"))
 
 
+# --- captured pages, written by the query from orders in each source's envelope and read back
+
+
+def _pages(orders: DataFrame, source: str) -> DataFrame:
+    """Pages of 25 orders as a source would send them; every 20th order has no id, every 50th page no list."""
+    entry = F.struct(
+        F.when(F.col("o_orderkey") % 20 > 0, F.col("o_orderkey").cast("string")).alias("id"), F.concat(F.lit("s-"), F.col("o_orderkey").cast("string")).alias("slug"), F.col("o_orderpriority").alias("positionName")
+    )
+    page = orders.groupBy(F.floor(F.col("o_orderkey") / 125).alias("page_id")).agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), entry.alias("e")))).alias("a"))
+    text = F.to_json(F.transform("a", lambda x: x["e"]))
+    wrap = {
+        "source_a": ('{"data":{"docs":', "}}"), "source_b": ('{"data":{"searchJobsV3":{"hasMore":true,"jobsInPage":', "}}}"), "source_c": ('{"data":{"jobSearchV6":{"totalCount":1,"data":', "}}}"),
+        "source_d": ('{"pageProps":{"jobs":', "}}"), "source_e": ('{"data":{"vacanciesV4":{"list":', "}}}"),
+    }[source]
+    return page.select("page_id", F.when(F.col("page_id") % 50 == 0, F.lit('{"data":{}}')).otherwise(F.concat(F.lit(wrap[0]), text, F.lit(wrap[1]))).alias("payload"))
+
+
+CAPTURED = """
+WITH o AS (SELECT 'source_' || ['a', 'b', 'c', 'd', 'e'][(o_orderkey % 5 + 1)::INT] AS source, o_orderkey // 125 AS page_id, o_orderkey FROM orders),
+p AS (SELECT *, (row_number() OVER (PARTITION BY source, page_id ORDER BY o_orderkey) - 1)::INT AS position FROM o)
+"""
+
+
+def _captured(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return [captures.parse_pages(_pages(orders.where(F.col("o_orderkey") % 5 == i), s), s) for i, s in enumerate(captures.ENVELOPES)]
+
+
+@query(CAPTURED + "SELECT source, page_id, position, o_orderkey::VARCHAR AS external_id FROM p WHERE page_id % 50 <> 0 AND o_orderkey % 20 <> 0")
+def capture_rows(spark, sf_dir):
+    return quality.union_all([rows.drop("payload") for rows, _ in _captured(spark, sf_dir)])
+
+
+@query(CAPTURED + """SELECT source, page_id, position, 'missing_id' AS reason FROM p WHERE page_id % 50 <> 0 AND o_orderkey % 20 = 0
+UNION ALL SELECT DISTINCT source, page_id, NULL::INT, 'missing_list' FROM p WHERE page_id % 50 = 0""")
+def capture_rejects(spark, sf_dir):
+    return quality.union_all([rejects for _, rejects in _captured(spark, sf_dir)])
+
+
 for _name, (_query, _sql) in dataset.queries(table).items():
     QUERIES[_name] = _query
     ORACLES[_name] = _sql

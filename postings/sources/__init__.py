@@ -1,0 +1 @@
+"""Sources and sinks: captured pages, embedded JSON, fixed-header CSV."""

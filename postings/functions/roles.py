@@ -57,9 +57,13 @@ def seniority_number(level: Column) -> Column:
     return F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, LEVELS)), level), F.lit(0)), F.lit(0)).cast("int")
 
 
-def infer_level(*texts: Column) -> Column:
-    """Experience level of a text: words first, then years ("3 - 5", "5+ years"; [-to] is a character class)."""
-    text = F.lower(F.concat_ws(" ", *(clean(t) for t in texts)))
+def level_text(*texts: Column) -> Column:
+    """What ``infer_level`` reads; make it a column of its own first, since that uses it many times."""
+    return F.lower(F.concat_ws(" ", *(clean(t) for t in texts)))
+
+
+def infer_level(text: Column) -> Column:
+    """Experience level of a lower-case text: words first, then years ("3 - 5", "5+ years"; [-to] is a character class)."""
     ranges = r"(\d+)\s*[-to]+\s*(\d+)\s*(tahun|years?)?"
     more = F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)\s*\+\s*(tahun|years?)"), F.lit(1)), lambda x: x.cast("int"))
     numbers = lambda i: F.concat(F.transform(F.regexp_extract_all(text, F.lit(ranges), F.lit(i)), lambda x: x.cast("int")), more)

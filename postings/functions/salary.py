@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.functions.text import clean
@@ -83,20 +83,24 @@ def label_period(label: Column) -> Column:
     return found
 
 
-def normalize(low: Column, high: Column, currency: Column, period: Column, label: Column) -> Column:
-    """The salary struct: explicit values before the label's, bounds in order, null if nothing is known."""
-    text = clean(label)
-    amounts = label_amounts(text)
-    a = F.coalesce(low.cast("long"), F.get(amounts, F.lit(0)))
-    b = F.coalesce(high.cast("long"), F.get(amounts, F.lit(1)))
-    swap = a > b
-    money = F.coalesce(currency_of(currency), label_currency(text))
-    term = F.coalesce(period_of(period), label_period(text))
-    nothing = a.isNull() & b.isNull() & money.isNull() & term.isNull() & text.isNull()
+def normalized(df: DataFrame, low: Column, high: Column, currency: Column, period: Column, label: Column, name: str = "salary") -> DataFrame:
+    """``df`` with a salary struct: explicit values before the label's, bounds in order, null if nothing is known.
+
+    In layers, so that each intermediate is a column and computed once, however often it is used.
+    """
+    df = df.withColumns({"_text": clean(label), "_low": low.cast("long"), "_high": high.cast("long"), "_money": currency_of(currency), "_term": period_of(period)})
+    df = df.withColumn("_amounts", label_amounts(F.col("_text")))
+    df = df.withColumns({
+        "_low": F.coalesce("_low", F.get("_amounts", F.lit(0))), "_high": F.coalesce("_high", F.get("_amounts", F.lit(1))),
+        "_money": F.coalesce("_money", label_currency(F.col("_text"))), "_term": F.coalesce("_term", label_period(F.col("_text"))),
+    })
+    swap = F.coalesce(F.col("_low") > F.col("_high"), F.lit(False))
+    known = F.coalesce(F.col("_low").cast("string"), F.col("_high").cast("string"), "_money", "_term", "_text").isNotNull()
     salary = F.struct(
-        F.when(swap, b).otherwise(a).alias("min_amount"), F.when(swap, a).otherwise(b).alias("max_amount"), money.alias("currency"), term.alias("period"), text.alias("display")
+        F.when(swap, F.col("_high")).otherwise(F.col("_low")).alias("min_amount"), F.when(swap, F.col("_low")).otherwise(F.col("_high")).alias("max_amount"),
+        F.col("_money").alias("currency"), F.col("_term").alias("period"), F.col("_text").alias("display"),
     )
-    return F.when(~nothing, salary)
+    return df.withColumn(name, F.when(known, salary)).drop("_text", "_low", "_high", "_money", "_term", "_amounts")
 
 
 def midpoint(low: Column, high: Column) -> Column:

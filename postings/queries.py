@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postings.functions import html, identity, redact, requirements, roles, salary, text
-from postings.operators import keyed, ledgers, quality
+from postings.functions import clean_html, html, identity, json, redact, requirements, roles, salary, text
+from postings.operators import keyed, ledgers, quality, validate
 from postings.plans import dataset
-from postings.sources import captures
+from postings.sources import captures, mappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -537,6 +537,55 @@ def capture_rejects(spark, sf_dir):
     return quality.union_all([rejects for _, rejects in _captured(spark, sf_dir)])
 
 
+def _mapped(spark, sf_dir):
+    """Orders as list entries of source_c, mapped to canonical records; every 9th order has no company."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    millions = (F.col("o_orderkey") % 30 + 1).cast("string")
+    entry = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("  "), "o_orderpriority", F.lit("  role ")).alias("title"), F.when(F.col("o_orderkey") % 9 > 0, F.col("c_name")).alias("companyName"),
+        F.concat(F.lit("Rp "), millions, F.lit(" - 5 juta per bulan")).alias("salaryLabel"), F.array(F.struct(F.concat("c_mktsegment", F.lit(", Java")).alias("label"))).alias("locations"),
+        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dateTimeUtc")).alias("listingDate"), F.array(F.lit("Full time")).alias("workTypes"),
+    )
+    raw = orders.select(F.lit("source_c").alias("source"), F.col("o_orderkey").cast("string").alias("external_id"), F.to_json(entry).alias("payload"), F.expr(NOW).alias("scraped_at"))
+    return mappers.map_source(raw, "source_c")
+
+
+MAPPED = """
+WITH m AS (SELECT o_orderkey::VARCHAR AS external_id, o_orderpriority || ' role' AS title, CASE WHEN o_orderkey % 9 > 0 THEN c_name END AS company, (o_orderkey % 30 + 1) * 1000000 AS x, c_mktsegment AS city,
+  o_orderdate::DATE::VARCHAR AS posted FROM orders JOIN customer ON c_custkey = o_custkey)
+"""
+
+
+@query(MAPPED + """SELECT external_id, title, company, least(x, 5000000)::BIGINT AS min_amount, greatest(x, 5000000)::BIGINT AS max_amount, 'IDR' AS currency, 'monthly' AS period, city, 'Java' AS region, posted,
+  'full_time' AS employment_type, 'active' AS status FROM m WHERE company IS NOT NULL""")
+def canonical_rows(spark, sf_dir):
+    good, _ = validate.split_valid(_mapped(spark, sf_dir), validate.canonical_rules())
+    return good.select("external_id", "title", "company", "salary.min_amount", "salary.max_amount", "salary.currency", "salary.period", "location.city", "location.region", F.date_format("posted_at", "yyyy-MM-dd").alias("posted"), "employment_type", "status")
+
+
+@query(MAPPED + "SELECT external_id, 'missing_company' AS message, 'company' AS field, 'open' AS status FROM m WHERE company IS NULL")
+def quarantined_rows(spark, sf_dir):
+    _, bad = validate.split_valid(_mapped(spark, sf_dir), validate.canonical_rules())
+    return validate.quarantine_rows(bad, ["external_id"], F.expr(NOW)).select("external_id", "message", "field", "status")
+
+
+@query("""SELECT event_id, sha256('{"event_type":"' || event_type || '","props":' || to_json(props) || ',"user_id":' || user_id || '}') AS row_hash FROM events""")
+def row_fingerprint(spark, sf_dir):
+    fields = {c: F.col(c) for c in ("user_id", "event_type", "props")}
+    return table(spark, sf_dir, "events").select("event_id", json.struct_hash(fields).alias("row_hash"))
+
+
+@query("SELECT event_id, sha256('{\"k\":' || json_extract_string(props, '$.k') || '}') AS payload_hash, json_extract_string(props, '$.k') AS k FROM events")
+def payload_hashes(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", json.payload_hash(F.col("props")).alias("payload_hash"), json.find_key(F.col("props"), ("k",)).alias("k"))
+
+
+@query()
+def sanitised_pages(spark, sf_dir):
+    clean = clean_html.sanitise(F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", clean.alias("display"), clean_html.full_text(F.col("html")).alias("text"), html.is_safe(clean).alias("safe"))
+
+
 for _name, (_query, _sql) in dataset.queries(table).items():
     QUERIES[_name] = _query
     ORACLES[_name] = _sql

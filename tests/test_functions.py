@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from postings.functions import dates, html, identity, redact, requirements, roles, salary, text
+from postings.functions import clean_html, dates, html, identity, json, redact, requirements, roles, salary, text
 
 
 def values(spark, column, rows, schema="a string, b string, c string"):
@@ -48,15 +48,17 @@ def test_counts_and_language(spark):
 def test_salary_labels(spark, label, low, high, money, term):
     A, B, C = map(F.col, "abc")  # noqa: N806
     none = F.lit(None).cast("string")
-    s = values(spark, salary.normalize(none, none, none, none, A), [(label,)])[0]
+    df = spark.createDataFrame([(label,)], "a string")
+    s = salary.normalized(df, none, none, none, none, A).first().salary
     assert (s.min_amount, s.max_amount, s.currency, s.period, s.display) == (low, high, money, term, label)
 
 
 def test_salary_values(spark):
     A, B, C = map(F.col, "abc")  # noqa: N806
     none = F.lit(None).cast("string")
-    assert values(spark, salary.normalize(A, B, none, none, C), [(None,)]) == [None]
-    s = values(spark, salary.normalize(A, B, F.lit("rupiah"), F.lit("per-bulan"), C), [("8000000", "5000000")])[0]
+    df = spark.createDataFrame([(None, None, None), ("8000000", "5000000", None)], "a string, b string, c string").coalesce(1)
+    assert salary.normalized(df, A, B, none, none, C).first().salary is None
+    s = salary.normalized(df, A, B, F.lit("rupiah"), F.lit("per-bulan"), C).collect()[1].salary
     assert tuple(s) == (5_000_000, 8_000_000, "IDR", "monthly", None)
     long = lambda c: c.cast("long")
     rows = [("4000000", "5000000"), ("6000000",), (None, "20000000"), (None,)]
@@ -82,7 +84,7 @@ def test_roles(spark):
     A, B, C = map(F.col, "abc")  # noqa: N806
     assert values(spark, roles.role_family(A), [("Maintenance",), ("Backend dev",), ("UI artist",), ("Sales",), ("Cook",)]) == ["data_ai", "engineering", "design", "growth", "other"]
     rows = [("Team Lead",), ("senior dev",), ("3 - 5 years",), ("6+ years",), ("1 year",), ("3 t 5",), ("International",), ("cook",)]
-    assert values(spark, roles.infer_level(A), rows) == ["lead", "senior", "mid_level", "senior", "entry_level", "mid_level", "entry_level", "entry_level"]
+    assert values(spark, roles.infer_level(roles.level_text(A)), rows) == ["lead", "senior", "mid_level", "senior", "entry_level", "mid_level", "entry_level", "entry_level"]
     assert values(spark, roles.seniority_number(A), [("JUNIOR",), ("LEAD",), ("x",), (None,)]) == [2, 5, 0, 0]
     assert values(spark, roles.work_type(A), [("Work From Home",), ("on-site",), ("Hybrid",), (None,)]) == ["remote", "onsite", "hybrid", "unknown"]
     assert values(spark, roles.employment_type(A), [("FullTime",), ("Contract work",), ("internship",), ("x",)]) == ["full_time", "contract", "internship", "unknown"]
@@ -117,3 +119,22 @@ def test_identity(spark):
     none = F.lit(None).cast("string")
     assert values(spark, identity.fingerprint(A, B, none, none, none), [("s",), (None, "x"), ("s", "x")])[:2] == [None, None]
     assert set(values(spark, identity.split_of(A), [(str(i),) for i in range(300)])) == {"train", "validation", "test"}
+
+
+def test_parsed_html(spark):
+    A, B, C = map(F.col, "abc")  # noqa: N806
+    rows = [('<p onclick="x">Hi <b>there</b><script>bad()</script> &lt;you&gt;<ul><li>one</ul> 5 < 6',), (None,), ("",), ("</p></ul>x<br/>",)]
+    assert values(spark, clean_html.sanitise(A), rows) == ["<p>Hi there &lt;you&gt;<ul><li>one</li></ul> 5 &lt; 6</p>", None, "", "x<br>"]
+    assert values(spark, clean_html.full_text(A), rows) == ["Hi there <you> one 5 < 6", None, "", "x"]
+
+
+def test_json(spark):
+    A, B, C = map(F.col, "abc")  # noqa: N806
+    rows = [('{"b": [1, 2, 3], "a": {"token": "x", "jobId": 7}}',), ("no json",), (None,), ('["x", {"trace": {"jobId": 1}}]',)]
+    assert values(spark, json.canonical_text(A), rows) == ['{"a":{"jobId":7,"token":"x"},"b":[1,2,3]}', None, None, '["x",{"trace":{"jobId":1}}]']
+    assert values(spark, json.find_key(A, ("jobId",)), rows) == ["7", None, None, None]
+    assert values(spark, json.shrink(A, 2), rows)[0] == '{"a":{"jobId":7,"token":"x"},"b":[1,2]}'
+    assert values(spark, json.redact_keys(A), rows)[0] == '{"a":{"jobId":7,"token":"<redacted>"},"b":[1,2,3]}'
+    assert values(spark, json.has_text_under(A, ("token",)), rows) == [True, None, None, False]
+    assert values(spark, json.gap_count(A), [("[1,2]",), ('{"gaps":[1]}',), ('{"x":1,"y":2}',), ("text",), ("",), (None,)]) == [2, 1, 2, 1, 0, 0]
+    assert values(spark, json.canonical_struct({"z": A, "a": B}), [("x", None)]) == ['{"a":null,"z":"x"}']

@@ -101,6 +101,34 @@ def listing_features(base: DataFrame) -> DataFrame:
     )
 
 
+def requirement_rows(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFrame:
+    """A row a child of a listing, with its dictionary entry and its place in the listing."""
+    entry = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("value"), F.col("p_brand").alias("category"))
+    parent = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("listing_status"))
+    kind = F.when(F.col("l_returnflag") == "R", "SKILL").when(F.col("l_returnflag") == "A", "EXPERIENCE").otherwise("OTHER")
+    return lineitem.join(entry, "l_partkey").join(parent, "l_orderkey").select(
+        "l_orderkey", F.col("l_linenumber").alias("sort_order"), "l_partkey", "l_suppkey", kind.alias("type"), "value", "category", F.bround("l_discount", 4).alias("confidence"), "listing_status"
+    )
+
+
+def signal_rows(orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Counts of a customer's signals, none of their own keys or times of day; zero where there are none."""
+    n = lambda kind: F.count_if(F.col("event_type") == kind)
+    signals = events.groupBy(F.col("user_id").alias("o_custkey")).agg(
+        F.count(F.lit(1)).alias("n_events"), n("purchase").alias("n_purchase"), n("error").alias("n_error"), F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type")
+    )
+    out = orders.select("o_orderkey", "o_custkey").join(signals, "o_custkey", "left").drop("o_custkey")
+    return out.na.fill(0, ["n_events", "n_purchase", "n_error"]).na.fill("none", ["last_type"])
+
+
+def classified_quality(types: Column, priorities: Column) -> Column:
+    """0.7 of the typed share and 0.3 of the prioritised share of a list of requirements."""
+    n = F.size(types)
+    typed = F.size(F.filter(types, lambda t: (t != "") & (t != "OTHER")))
+    ranked = F.size(F.filter(priorities, lambda p: F.coalesce(p, F.lit("")) != ""))
+    return F.when(n > 0, F.bround(typed / n * 0.7 + ranked / n * 0.3, 4)).otherwise(0.0)
+
+
 def queries(table: Callable) -> dict[str, tuple[Callable, str]]:
     def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         return listing_base(*(table(spark, sf_dir, n) for n in ("orders", "customer", "lineitem", "events")))
@@ -113,6 +141,34 @@ def queries(table: Callable) -> dict[str, tuple[Callable, str]]:
         scores = readiness(F.col("completeness") / 100, F.col("n_requirements") > 0, F.col("n_skills") > 0, F.lit(True))
         return row.select("o_orderkey", *(c.alias(t) for t, c in scores.items()), F.array_join(blockers(scores), ",").alias("blocked"))
 
+    def requirement_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return requirement_rows(*(table(spark, sf_dir, n) for n in ("lineitem", "part", "orders")))
+
+    def signal_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return signal_rows(table(spark, sf_dir, "orders"), table(spark, sf_dir, "events"))
+
+    def requirement_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = requirement_dataset(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list("type").alias("t"), F.collect_list(F.when(F.col("confidence") > 0.05, "HIGH").otherwise("")).alias("p"))
+        return rows.select("l_orderkey", classified_quality(F.col("t"), F.col("p")).alias("quality"))
+
+    def dataset_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A row an exported column with its filled share: types from schemas, shares from one pass a table."""
+        frames = {"requirements": requirement_dataset(spark, sf_dir), "signals": signal_dataset(spark, sf_dir)}
+        shares = None
+        for name, df in frames.items():
+            one = df.agg(*(F.bround(F.count(c) / F.count(F.lit(1)), 4).alias(c) for c in df.columns)).unpivot([], df.columns, "column", "filled").withColumn("file", F.lit(name))
+            shares = one if shares is None else shares.unionByName(one)
+        return dictionary(spark, frames).join(shares, ["file", "column"])
+
+    requirements_sql = """
+SELECT l_orderkey, l_linenumber AS sort_order, l_partkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 'SKILL' WHEN 'A' THEN 'EXPERIENCE' ELSE 'OTHER' END AS type, p_name AS value, p_brand AS category,
+  round_even(l_discount, 4) AS confidence, o_orderstatus AS listing_status FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey"""
+    signals_sql = """
+WITH s AS (SELECT user_id AS u, count(*) AS n_events, count(*) FILTER (event_type = 'purchase') AS n_purchase, count(*) FILTER (event_type = 'error') AS n_error, max_by(event_type, (ts, event_id)) AS last_type FROM events GROUP BY user_id)
+SELECT o_orderkey, coalesce(n_events, 0) AS n_events, coalesce(n_purchase, 0) AS n_purchase, coalesce(n_error, 0) AS n_error, coalesce(last_type, 'none') AS last_type FROM orders LEFT JOIN s ON u = o_custkey"""
+    quality_sql = f"""
+WITH r AS ({requirements_sql}) SELECT l_orderkey, round_even(count(*) FILTER (type <> 'OTHER') / count(*)::DOUBLE * 0.7::DOUBLE + count(*) FILTER (confidence > 0.05::DOUBLE) / count(*)::DOUBLE * 0.3::DOUBLE, 4) AS quality FROM r GROUP BY l_orderkey"""
+
     features_sql = """
 WITH k AS (SELECT l_orderkey AS o, count(*) AS n_requirements, count(DISTINCT l_partkey) AS n_skills FROM lineitem GROUP BY l_orderkey),
 s AS (SELECT user_id AS u, count(*) FILTER (event_type = 'purchase') AS na, count(*) FILTER (event_type = 'error') AS nr FROM events GROUP BY user_id),
@@ -134,4 +190,8 @@ f AS (SELECT o_orderkey, n_requirements, n_skills, completeness, fit_quality, CA
 , p AS (SELECT o_orderkey, completeness / 100::DOUBLE AS c, (n_requirements > 0)::INT::DOUBLE AS r, (n_skills > 0)::INT::DOUBLE AS k FROM f),
 t AS (SELECT o_orderkey, {", ".join(f"{e} AS {t}" for t, e in scores.items())} FROM p)
 SELECT *, concat_ws(',', {", ".join(f"CASE WHEN {t} < 0.55::DOUBLE THEN '{t}' END" for t in scores)}) AS blocked FROM t"""
-    return {"listing_features": (features, features_sql + "SELECT * FROM f"), "task_readiness": (task_readiness, readiness_sql)}
+    more = {
+        "requirement_dataset": (requirement_dataset, requirements_sql), "signal_dataset": (signal_dataset, signals_sql), "requirement_quality": (requirement_quality, quality_sql),
+        "dataset_dictionary": (dataset_dictionary, None),
+    }
+    return more | {"listing_features": (features, features_sql + "SELECT * FROM f"), "task_readiness": (task_readiness, readiness_sql)}

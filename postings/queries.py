@@ -588,4 +588,5 @@ def sanitised_pages(spark, sf_dir):
 
 for _name, (_query, _sql) in dataset.queries(table).items():
     QUERIES[_name] = _query
-    ORACLES[_name] = _sql
+    if _sql:
+        ORACLES[_name] = _sql

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postings.functions import clean_html, html, identity, json, redact, requirements, roles, salary, text
-from postings.operators import keyed, ledgers, quality, validate
+from postings.operators import delivery, keyed, ledgers, quality, reports, validate
 from postings.plans import dataset
 from postings.sources import captures, mappers
 
@@ -586,6 +586,113 @@ def sanitised_pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", clean.alias("display"), clean_html.full_text(F.col("html")).alias("text"), html.is_safe(clean).alias("safe"))
 
 
+# --- delivery and reports
+
+PAYLOADS = """
+WITH p AS (SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, '{"externalId":"' || o_orderkey || '","status":"' || CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'EXPIRED' ELSE 'HIDDEN' END
+  || '","title":"' || upper(replace(replace(o_orderpriority, '-', '_'), ' ', '_')) || '"}' AS payload FROM orders)
+"""
+
+
+def _payloads(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "O", "active").when(F.col("o_orderstatus") == "F", "expired")
+    rows = delivery.payloads(orders, {"externalId": F.col("o_orderkey").cast("string"), "status": delivery.status_code(status), "title": delivery.code(F.col("o_orderpriority"))}, "o_orderkey")
+    return rows.join(orders.select("o_orderkey", F.to_date("o_orderdate").cast("string").alias("day")), "o_orderkey")
+
+
+@query(PAYLOADS + "SELECT o_orderkey, payload, sha256(payload) AS payload_hash, day FROM p")
+def delivery_payloads(spark, sf_dir):
+    return _payloads(spark, sf_dir)
+
+
+@query(PAYLOADS + """
+, c AS (SELECT *, (row_number() OVER (PARTITION BY day ORDER BY o_orderkey) - 1) // 25 AS chunk FROM p),
+b AS (SELECT day, chunk::BIGINT AS chunk, count(*) AS n, '[' || string_agg(payload, ',' ORDER BY o_orderkey) || ']' AS body FROM c GROUP BY ALL)
+SELECT day, chunk, n, sha256(body) AS chunk_hash FROM b""")
+def delivery_batches(spark, sf_dir):
+    return delivery.batches(_payloads(spark, sf_dir), ["day"], ["o_orderkey"], 25).drop("body")
+
+
+@query("""
+WITH o AS (SELECT ts::DATE::VARCHAR AS run, CASE event_type WHEN 'purchase' THEN 200 WHEN 'error' THEN [404, 422, 503][(event_id % 3 + 1)::INT] END AS status FROM events WHERE event_type IN ('purchase', 'error', 'login')),
+c AS (SELECT run, CASE WHEN status IS NULL THEN 'retryable' WHEN status BETWEEN 200 AND 299 THEN 'sent' WHEN status = 404 THEN 'retryable' WHEN status BETWEEN 400 AND 499 THEN 'final' ELSE 'retryable' END AS outcome FROM o)
+SELECT run, outcome, count(*) AS n FROM c GROUP BY ALL""")
+def delivery_outcomes(spark, sf_dir):
+    events = table(spark, sf_dir, "events").where("event_type in ('purchase', 'error', 'login')")
+    status = F.when(F.col("event_type") == "purchase", 200).when(F.col("event_type") == "error", F.get(F.array(F.lit(404), F.lit(422), F.lit(503)), (F.col("event_id") % 3).cast("int")))
+    return events.groupBy(F.to_date("ts").cast("string").alias("run"), delivery.outcome(status).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH e AS (SELECT user_id, sum((event_type = 'error')::INT) AS k FROM events GROUP BY user_id)
+SELECT user_id, greatest(1, floor(100 / pow(2, least(k, 10))))::INT AS chunk_size FROM e""")
+def chunk_size_plan(spark, sf_dir):
+    attempts = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_type") == "error", 503).otherwise(200).alias("status"))
+    return delivery.halved_sizes(attempts, ["user_id"], ["ts", "event_id"], 100)
+
+
+@query("""
+WITH r AS (SELECT 'run-' || (user_id % 40) || CASE event_id % 3 WHEN 0 THEN '-sync' WHEN 1 THEN '-retry-0' || (event_id % 7 + 1) ELSE '' END AS run FROM events),
+b AS (SELECT regexp_replace(run, '(-(scrape|normalize|enrich|sync|notify))?(-retry-[0-9]+)?$', '') AS base, regexp_matches(run, '-retry-[0-9]+$') AS retry FROM (SELECT DISTINCT run FROM r))
+SELECT base, base || '-retry-' || lpad((count(*) FILTER (retry) + 1)::VARCHAR, 2, '0') AS next_run FROM b GROUP BY base""")
+def retry_run_ids(spark, sf_dir):
+    suffix = F.when(F.col("event_id") % 3 == 0, "-sync").when(F.col("event_id") % 3 == 1, F.concat(F.lit("-retry-0"), (F.col("event_id") % 7 + 1).cast("string"))).otherwise("")
+    runs = table(spark, sf_dir, "events").select(F.concat(F.lit("run-"), (F.col("user_id") % 40).cast("string"), suffix).alias("run")).distinct()
+    return delivery.next_retry_id(runs, "run")
+
+
+@query("""
+WITH d AS (SELECT o_custkey AS k, max_by({'p': CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END, 's': CASE o_orderstatus WHEN 'O' THEN 200 WHEN 'F' THEN 404 ELSE 503 END}, CASE o_orderstatus WHEN 'O' THEN 200 WHEN 'F' THEN 404 ELSE 503 END) AS d
+  FROM (SELECT o_custkey, o_orderstatus, min(o_orderpriority) AS o_orderpriority FROM orders GROUP BY ALL) GROUP BY o_custkey)
+SELECT c_custkey, CASE WHEN d.p IS NOT NULL THEN 'complete' ELSE 'partial' END AS completeness, CASE WHEN d.p IS NOT NULL THEN NULL WHEN k IS NULL THEN 'not_attempted' WHEN d.s = 404 THEN 'not_found' ELSE 'source_error' END AS missing_reason
+FROM customer LEFT JOIN d ON k = c_custkey""")
+def list_with_detail(spark, sf_dir):
+    detail = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderstatus").agg(F.min("o_orderpriority").alias("p"))
+    status = F.when(F.col("o_orderstatus") == "O", 200).when(F.col("o_orderstatus") == "F", 404).otherwise(503)
+    detail = detail.select("c_custkey", F.when(F.col("o_orderstatus") == "O", F.col("p")).alias("payload"), status.alias("status"))
+    return delivery.with_detail(table(spark, sf_dir, "customer").select("c_custkey"), detail, "c_custkey", "status").select("c_custkey", "completeness", "missing_reason")
+
+
+QUALITY = """
+WITH w AS (SELECT lang, count(*)::DOUBLE AS jobs, avg((length(text) < 500)::INT)::DOUBLE AS short, (count(*) FILTER (contains(lower(text), 'license')))::DOUBLE AS noisy, grouping(lang) AS g FROM documents GROUP BY ROLLUP (lang)),
+m AS (SELECT CASE WHEN g = 1 THEN 'all' ELSE coalesce(lang, 'unknown') END AS scope, unnest(['jobs', 'short_rate', 'noisy']) AS metric, unnest([jobs, round_even(short, 4), noisy]) AS value FROM w)
+"""
+
+
+def _quality(spark, sf_dir):
+    short, noisy = F.length("text") < 500, F.contains(F.lower("text"), F.lit("license"))
+    values = {"jobs": F.count(F.lit(1)), "short_rate": F.bround(F.avg(short.cast("int")), 4), "noisy": F.count_if(noisy)}
+    return reports.metrics(table(spark, sf_dir, "documents"), F.col("lang"), values)
+
+
+@query(QUALITY + "SELECT * FROM m")
+def quality_metrics(spark, sf_dir):
+    return _quality(spark, sf_dir)
+
+
+@query(QUALITY + """SELECT scope, 'many_short' AS name, 'warning' AS severity, value FROM m WHERE metric = 'short_rate' AND value > 0.1
+UNION ALL SELECT scope, 'noise', 'critical', value FROM m WHERE metric = 'noisy' AND value > 3""")
+def quality_warnings(spark, sf_dir):
+    return reports.warnings(_quality(spark, sf_dir), [("many_short", "short_rate", "warning", 0.1), ("noise", "noisy", "critical", 3.0)])
+
+
+@query("""
+SELECT coalesce(nullif(trim(CASE conv_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'm' || (conv_id % 4) END), ''), 'unknown') AS model, count(*) AS requests, count(*) FILTER (role IN ('user', 'assistant')) AS successes,
+  count(*) FILTER (role = 'other') AS failed, count(*) FILTER (role = 'system') AS rate_limited FROM conversations GROUP BY 1""")
+def model_usage(spark, sf_dir):
+    model = F.when(F.col("conv_id") % 4 == 0, "").when(F.col("conv_id") % 4 > 1, F.concat(F.lit("m"), (F.col("conv_id") % 4).cast("string")))
+    status = F.when(F.col("role") == "user", "success").when(F.col("role") == "assistant", "succeeded").when(F.col("role") == "system", "rate_limited").otherwise("failed")
+    return reports.model_usage(table(spark, sf_dir, "conversations"), model, status)
+
+
+@query("""
+SELECT event_type, json_extract_string(props, '$.k')::INT % 5 AS endpoint, count(*) AS n FROM events WHERE event_type IN ('error', 'login') GROUP BY ALL""")
+def failure_categories(spark, sf_dir):
+    endpoint = (F.get_json_object("props", "$.k").cast("int") % 5).alias("endpoint")
+    return reports.failure_summary(table(spark, sf_dir, "events"), F.col("event_type").isin("error", "login"), [F.col("event_type"), endpoint])
+
+
 for _name, (_query, _sql) in dataset.queries(table).items():
     QUERIES[_name] = _query
     if _sql:

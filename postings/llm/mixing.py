@@ -48,8 +48,8 @@ def mix(df: DataFrame, *, weights: DataFrame | None = None, temperature: float =
     state and is the same in every retry and for any partitioning. Rows of one id are drawn
     together. The shuffle deals copies out by a hash of seed, id and copy and sorts each
     partition by it. A null source is a source; rows of null ids are drawn as id "null". An
-    empty table gives an empty result. Columns of ``df`` keep their names; ``mix_*`` names are
-    reserved.
+    empty table gives an empty result. Columns of ``df`` keep their names; those
+    named mix_* are working names and would be overwritten.
     """
     docs = df.withColumns({"mix_source": F.col(source_col), "mix_id": F.coalesce(F.col(id_col).cast("string"), F.lit("null"))})
     rates = materialize(source_rates(docs.select(F.col("mix_source").alias("source")), weights, temperature), "rates")
@@ -60,5 +60,6 @@ def mix(df: DataFrame, *, weights: DataFrame | None = None, temperature: float =
     n = F.size(F.filter("mix_cdf", lambda c: c <= F.col("mix_u")))
     copies = draw.withColumn("mix_n", n).where("mix_n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_n"))))
     keyed = copies.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "mix_id", F.col("mix_copy").cast("string"))))
-    dealt = keyed.select(*df.columns, "mix_copy", "mix_key").repartition("mix_key")
+    kept = [c for c in df.columns if c not in ("mix_copy", "mix_key")]
+    dealt = keyed.select(*kept, "mix_copy", "mix_key").repartition("mix_key")
     return dealt.sortWithinPartitions("mix_key")

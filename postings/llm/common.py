@@ -78,6 +78,10 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One cache for all operators of a worker process.
+word_hashes = WordHash()
+
+
 def windows(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of every k consecutive entries of ``h`` (order matters)."""
     n = len(h) - k + 1

@@ -11,11 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, classes, materialize, mix64, windows
+from postings.llm.common import classes, materialize, mix64, windows, word_hashes
 
 #: 32 bands of 5 coordinates: a pair of similarity 0.8 is missed with probability (1 - 0.8**5)**32 = 3e-6.
 BANDS, ROWS = 32, 5
-_hashes = WordHash()
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -27,7 +26,7 @@ def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    return np.unique(windows(_hashes.of(words), min(k, len(words))))
+    return np.unique(windows(word_hashes.of(words), min(k, len(words))))
 
 
 def circulant_signature(shingles: np.ndarray, size: int) -> np.ndarray:

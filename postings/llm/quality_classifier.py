@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, mix64
+from postings.llm.common import WordHash, mix64, word_hashes
 from postings.llm.labelled import dual_coordinate_descent, held_out, platt, training_rows
 
 BITS = 18
@@ -34,7 +34,7 @@ class ShapeHash(WordHash):
         return found
 
 
-_words, _shapes = WordHash(), ShapeHash()
+_shapes = ShapeHash(300_000)
 
 
 def indicators(text: bytes | None, bits: int = BITS) -> np.ndarray:
@@ -42,7 +42,7 @@ def indicators(text: bytes | None, bits: int = BITS) -> np.ndarray:
     words = (text or b"").split()
     if not words:
         return np.empty(0, np.int64)
-    h, s = _words.of(words), _shapes.of(words)
+    h, s = word_hashes.of(words), _shapes.of(words)
     pairs = mix64(h[:-1]) + h[1:]
     shapes = mix64(s[:-1] * np.uint64(3) + (h[:-1] == h[1:])) + s[1:]
     return np.unique(mix64(np.concatenate([h, pairs, s, shapes])) >> np.uint64(64 - bits)).astype(np.int64)
@@ -80,7 +80,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, train_rows: int = TRA
     if len(np.unique(y)) < 2:  # nothing to learn from: the one class seen, or none
         p = float(y[0]) if len(y) else 0.5
         return Model(np.zeros(2**bits), np.zeros(2**bits), 0.0, 1.0, 8 * (2 * p - 1))
-    sets = [np.asarray(d, np.int64) for d in rows["dims"]]
+    sets = [np.asarray(d, np.int32) for d in rows.pop("dims")]
     fold = np.arange(len(sets)) % 5 == 4
     if len(np.unique(y[fold])) < 2 or len(np.unique(y[~fold])) < 2:
         fold[:] = False
@@ -91,11 +91,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, train_rows: int = TRA
     used = [s for s, f in zip(sets, fold, strict=True) if not f]
     starts = np.cumsum([0, *map(len, used)])
     columns = np.concatenate(used)
-    values = ratios[columns]
-    norms = np.repeat([max(np.sqrt(ratios[s] @ ratios[s]), 1e-9) if len(s) else 1.0 for s in used], np.diff(starts))
+    values = ratios.astype(np.float32)[columns]
+    for a, b in zip(starts[:-1], starts[1:], strict=True):
+        values[a:b] /= max(np.sqrt(values[a:b] @ values[a:b]), 1e-9)
     share = np.bincount(y[~fold], minlength=2) / (~fold).sum()
     cost = np.where(y[~fold] == 1, 0.5 / share[1], 0.5 / share[0])
-    w = dual_coordinate_descent(starts, columns, values / norms, 2.0 * y[~fold] - 1, 2**bits, cost)
+    w = dual_coordinate_descent(starts, columns, values, 2.0 * y[~fold] - 1, 2**bits, cost)
     model = Model(ratios.astype(np.float32), w[:-1].astype(np.float32), float(w[-1]), 1.0, 0.0)
     check = fold if fold.any() else ~fold
     slope, offset = platt(np.array([model.margin(s) for s, f in zip(sets, check, strict=True) if f]), y[check])

@@ -25,28 +25,25 @@ _NUMBERS = frozenset(b"one two three four five six seven eight nine ten eleven t
 _SLOTS = {1: xxhash.xxh3_64_intdigest(b"\x00number"), 2: xxhash.xxh3_64_intdigest(b"\x00name"), 3: xxhash.xxh3_64_intdigest(b"\x00unit")}
 
 
+NUMBER_BIT, UNIT_BIT, CAPITAL_BIT, END_BIT = (np.uint64(1 << i) for i in range(4))
+
+
 class Token(WordHash):
-    """word -> (hash of the bare lower-case word, is a number, is a unit, is capitalised, ends a sentence)."""
+    """word -> hash of the bare lower-case word, its low four bits: number, unit, capitalised, ends a sentence."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int, int, int]:
+    def __missing__(self, word: bytes) -> int:
         bare = word.decode("utf-8", "replace").strip(_EDGES)
         low = bare.lower().encode()
-        first = bare[:1]
-        digits = sum(c.isdigit() for c in bare)
+        digits = 0 if bare.isalpha() else sum(c.isdigit() for c in bare)
         number = bool(digits) and 2 * digits >= len(bare) or low in _NUMBERS
+        flags = number | (low in UNITS or word == b"%") << 1 | (bare[:1].isupper() and not number) << 2 | word.endswith(_ENDS) << 3
         if len(self) >= self.most:
             self.clear()
-        found = self[word] = (
-            xxhash.xxh3_64_intdigest(low),
-            int(number),
-            int(low in UNITS or bare == "" and word == b"%"),
-            int(first.isupper() and not number),
-            int(word.endswith(_ENDS)),
-        )
+        found = self[word] = xxhash.xxh3_64_intdigest(low) & ~15 | flags
         return found
 
 
-_tokens = Token(200_000)
+_tokens = Token(400_000)
 
 
 def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,14 +51,18 @@ def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     A name is a capitalised word that doesn't begin a sentence or the text.
     """
-    if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    table = [_tokens[w] for w in words]
-    h = np.array([t[0] for t in table], np.uint64)
-    number, unit, capital, ends = (np.array([t[i] for t in table], bool) for i in range(1, 5))
-    after = np.concatenate([[True], ends[:-1]])
-    slot = np.where(number, 1, np.where(capital & ~after, 2, 0))
-    slot[(slot == 0) & unit & np.concatenate([[False], number[:-1]])] = 3
+    h = _tokens.of(words)
+    if not len(h):
+        return h, np.empty(0, np.int8)
+    number, unit, capital, ends = ((h & bit) != 0 for bit in (NUMBER_BIT, UNIT_BIT, CAPITAL_BIT, END_BIT))
+    h &= ~np.uint64(15)
+    name = capital
+    name[0] = False
+    name[1:] &= ~ends[:-1]
+    slot = np.zeros(len(h), np.int8)
+    slot[1:][unit[1:] & number[:-1]] = 3
+    slot[name] = 2
+    slot[number] = 1
     for kind, value in _SLOTS.items():
         h[slot == kind] = value
     return h, slot

@@ -36,7 +36,7 @@ class Token(WordHash):
         low = bare.lower().encode()
         digits = 0 if bare.isalpha() else sum(c.isdigit() for c in bare)
         number = bool(digits) and 2 * digits >= len(bare) or low in _NUMBERS
-        flags = number | (low in UNITS or word == b"%") << 1 | (bare[:1].isupper() and not number) << 2 | word.endswith(_ENDS) << 3
+        flags = number | (low in UNITS or word == b"%") << 1 | (bare[:1].isupper() and not bare.isupper() and not number) << 2 | word.endswith(_ENDS) << 3
         if len(self) >= self.most:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(low) & ~15 | flags
@@ -49,7 +49,7 @@ _tokens = Token(400_000)
 def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, slot type) of each word: 1 number, 2 name, 3 unit after a number, 0 a literal word.
 
-    A name is a capitalised word that doesn't begin a sentence or the text.
+    A name is a capitalised word (not one in capitals) that doesn't begin a sentence or the text.
     """
     h = _tokens.of(words)
     if not len(h):

@@ -11,14 +11,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, mix64, windows
+from postings.llm.common import mix64, windows, word_hashes
 
 WIDTH, MINIMISER = 13, 3
 #: Text in a map task's working set, and packed bytes that a bucket should hold.
 CHUNK_BYTES, BUCKET_BYTES = 16_000_000, 48_000_000
 #: Documents sampled to find frequent word triples (they are only avoided as minimisers; no result depends on them).
 SAMPLE_DOCS = 4000
-_hashes = WordHash()
 RANGES = "doc_id long, row_hash long, start int, stop int"
 
 
@@ -53,7 +52,7 @@ def frequent_grams(docs: DataFrame, rows: int, m: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column("text").cast(pa.binary()).to_pylist():
-                grams = np.unique(windows(_hashes.of((text or b"").split()), m)).view(np.int64)
+                grams = np.unique(windows(word_hashes.of((text or b"").split()), m)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(grams)], ["gram"])
 
     sampled = docs.select("text").sample(min(1.0, SAMPLE_DOCS / max(rows, 1)), seed=7)
@@ -77,16 +76,17 @@ def _merge(start: int, flags: list[bool], k: int) -> Iterator[tuple[int, int]]:
 
 
 def _blob(mins, docs, rows, starts, counts, packed: list[bytes]) -> bytes:
+    """Super-k-mers of one bucket, compressed; 32 bits of a minimiser are enough to group them, windows are compared in full."""
     head = np.array([len(packed)], "<u8").tobytes()
     sizes = np.fromiter(map(len, packed), np.uint32, len(packed))
-    columns = [np.asarray(mins, np.uint64), np.asarray(docs, np.int64), np.asarray(rows, np.int64), np.asarray(starts, np.uint32), np.asarray(counts, np.uint32), sizes]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *(c.tobytes() for c in columns), *packed]))
+    columns = [np.asarray(mins, np.uint64).astype(np.uint32), np.asarray(docs, np.int64), np.asarray(rows, np.int64), np.asarray(starts, np.uint32), np.asarray(counts, np.uint32), sizes]
+    return zstandard.ZstdCompressor(level=6).compress(b"".join([head, *(c.tobytes() for c in columns), *packed]))
 
 
 def _unblob(data: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     data = zstandard.ZstdDecompressor().decompress(data)
     n, at, columns = int.from_bytes(data[:8], "little"), 8, []
-    for kind in (np.uint64, np.int64, np.int64, np.uint32, np.uint32, np.uint32):
+    for kind in (np.uint32, np.int64, np.int64, np.uint32, np.uint32, np.uint32):
         columns.append(np.frombuffer(data, kind, n, at))
         at += n * columns[-1].itemsize
     ends = (at + np.cumsum(columns[5], dtype=np.int64)).tolist()
@@ -105,7 +105,7 @@ def _cut(chunk: list[tuple[int, int, bytes]], buckets: int, k: int, m: int, freq
         words = text.split()
         if len(words) < k:
             continue
-        least, first, n = super_kmers(_hashes.of(words), k, m, frequent)
+        least, first, n = super_kmers(word_hashes.of(words), k, m, frequent)
         line = b" ".join(words)
         off = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
         for mini, s, c, a, b in zip(least.tolist(), first.tolist(), n.tolist(), off[first].tolist(), (off[first + n + k - 1] - 1).tolist(), strict=True):

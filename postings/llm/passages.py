@@ -15,7 +15,7 @@ from postings.llm.common import mix64, windows, word_hashes
 
 WIDTH, MINIMISER = 13, 3
 #: Text in a map task's working set, and packed bytes that a bucket should hold.
-CHUNK_BYTES, BUCKET_BYTES = 16_000_000, 48_000_000
+CHUNK_BYTES, BUCKET_BYTES = 12_000_000, 40_000_000
 #: Documents sampled to find frequent word triples (they are only avoided as minimisers; no result depends on them).
 SAMPLE_DOCS = 4000
 RANGES = "doc_id long, row_hash long, start int, stop int"

@@ -64,6 +64,25 @@ def test_lines_match_all_pairs(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_lines_by_edit_similarity_alone(spark):
+    """All pairs by edits only, no SimHash: lines with a typo, one word replaced, or one edit of a short line."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(3000)]
+    rows, pairs = [], 0
+    for n in (4, 10, 20, 40, 80):
+        for i in range(20):
+            line = [rnd.choice(words) for _ in range(n)]
+            other, at = list(line), rnd.randrange(n)
+            other[at] = rnd.choice(words) if i % 2 and n > 4 else other[at][:1] + "x" + other[at][2:]
+            a, b = " ".join(line), " ".join(other)
+            pairs += a != b and edits(a, b) <= 0.2 * max(len(a), len(b))
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = {r.doc_id for r in got if r.n_removed}
+    assert all(d % 2 for d in removed) and pairs > 90
+    assert len(removed) >= 0.97 * pairs, (len(removed), pairs)
+
+
 def brute_passages(rows, k):
     first = {}
     cut = [(d, (t or "").encode().split()) for d, t in rows]

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postings.llm.common import WordHash, key_bits, materialize, windows, with_bit
@@ -117,9 +117,10 @@ def contamination(
     """(doc_id, row_hash, item_id, windows) of each row and each benchmark item that it repeats.
 
     Numbers, names and units become typed slots; windows of ``width`` words with
-    ``least_literal`` literal ones at least are joined by hash. Along one alignment of a text
-    with an item, each slot value of the item must stand for one value of the text and the
-    other way round, or the alignment doesn't count. Null texts and ids match nothing; items of
+    ``least_literal`` literal ones at least are joined by hash. Along one run of consecutive
+    windows that a text shares with an item, each slot value of the item must stand for one
+    value of the text (several may stand for the same one), or only the run's windows without
+    slots count. Null texts and ids match nothing; items of
     fewer than ``width`` words match nothing; either table may be empty.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("part"), F.col(text_col).cast("string").alias("text"))
@@ -129,13 +130,19 @@ def contamination(
     seen = window_table(docs.where("id is not null and text is not null"), width, least_literal, bits)
     y = known.select("key", F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     met = seen.join(y, "key").select(
-        F.col("id").alias("doc_id"), F.col("part").alias("row_hash"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"),
+        F.col("id").alias("doc_id"), F.col("part").alias("row_hash"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
         F.arrays_zip("item_slots", "slots").alias("pairs"),
     )
-    # an alignment has at most one window a word of the item, so its slots are few
-    lined = met.groupBy("doc_id", "row_hash", "item_id", "shift").agg(F.count(F.lit(1)).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    one = (F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")) & (F.size(F.array_distinct("pairs.slots")) == F.size("pairs"))
-    return lined.where(one).groupBy("doc_id", "row_hash", "item_id").agg(F.max("windows").alias("windows"))
+    # an alignment has at most one window a word of the item, so its windows and slots are few
+    line = ["doc_id", "row_hash", "item_id", "shift"]
+    runs = met.withColumn("run", F.col("item_at") - F.dense_rank().over(Window.partitionBy(*line).orderBy("item_at")))
+    bare = F.when(F.size("pairs") == 0, F.col("item_at"))
+    lined = runs.groupBy(*line, "run").agg(
+        F.size(F.collect_set("item_at")).alias("all"), F.size(F.collect_set(bare)).alias("bare"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+    )
+    one = F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")
+    lined = lined.withColumn("windows", F.when(one, F.col("all")).otherwise(F.col("bare")).cast("long"))
+    return lined.where("windows > 0").groupBy("doc_id", "row_hash", "item_id").agg(F.max("windows").alias("windows"))
 
 
 def flag_contaminated(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -71,3 +71,13 @@ def test_slots_must_be_consistent(spark):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = dict(flag_contaminated(spark.createDataFrame([(1, same), (2, mixed)], "doc_id long, text string"), bench, width=17).select("doc_id", "contaminated").collect())
     assert got == {1: True, 2: False}
+
+
+def test_slot_values_may_meet_and_plain_windows_count(spark):
+    item = "Put 3 apples and 5 pears in the big box near the old door"
+    met = item.replace("3", "4").replace("5", "4")  # two values of the item, one of the text
+    long = "Add 5 red balls and 5 blue balls to the box while nobody in the whole house is looking at the door"
+    odd = long.replace("Add 5", "Add 9")  # slots conflict, but windows without slots are equal
+    bench = spark.createDataFrame([(1, item), (2, long)], "item_id long, text string")
+    got = {r.doc_id: r.first_item for r in flag_contaminated(spark.createDataFrame([(1, met), (2, odd)], "doc_id long, text string"), bench).collect()}
+    assert got == {1: 1, 2: 2}

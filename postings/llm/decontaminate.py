@@ -46,36 +46,60 @@ class Token(WordHash):
 _tokens = Token(400_000)
 
 
-def template(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, slot type) of each word: 1 number, 2 name, 3 unit after a number, 0 a literal word.
+def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Up to three (hashes, slot types) of the words: 1 number, 2 name, 3 unit after a number, 0 a literal word.
 
     A name is a capitalised word (not one in capitals) that doesn't begin a sentence or the text.
+    The first reading has no names, so that case is no matter; the second has names; the third
+    also where a line starts (``starts``), which may be a sentence's start or a wrapped line.
     """
     h = _tokens.of(words)
     if not len(h):
-        return h, np.empty(0, np.int8)
+        return []
     number, unit, capital, ends = ((h & bit) != 0 for bit in (NUMBER_BIT, UNIT_BIT, CAPITAL_BIT, END_BIT))
     h &= ~np.uint64(15)
-    name = capital
-    name[0] = False
-    name[1:] &= ~ends[:-1]
-    slot = np.zeros(len(h), np.int8)
-    slot[1:][unit[1:] & number[:-1]] = 3
-    slot[name] = 2
-    slot[number] = 1
-    for kind, value in _SLOTS.items():
-        h[slot == kind] = value
-    return h, slot
-
-
-def template_windows(text: bytes | None, width: int, least_literal: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """(words, slot types, places, hashes) of the windows that have enough literal words."""
-    words = (text or b"").split()
-    h, slot = template(words)
-    keys = windows(h, width)
-    literal = np.concatenate([[0], np.cumsum(slot == 0)])
-    at = np.flatnonzero(literal[width:] - literal[:-width] >= least_literal) if len(keys) else np.empty(0, np.int64)
-    return words, slot, at, keys[at]
+    capital[0] = False
+    capital[1:] &= ~ends[:-1]
+    plain = np.zeros(len(h), np.int8)
+    plain[1:][unit[1:] & number[:-1]] = 3
+    plain[number] = 1
+    for kind in (1, 3):
+        h[plain == kind] = _SLOTS[kind]
+    found = [(h, plain)]
+    inner = capital.copy()
+    inner[starts] = False
+    for name in (inner, capital) if (inner != capital).any() else (inner,):
+        if name.any():
+            slot, named = plain.copy(), h.copy()
+            slot[name] = 2
+            named[name] = _SLOTS[2]
+            found.append((named, slot))
+    return found
+
+
+def template_windows(text: bytes | None, width: int, least_literal: int, bits: np.ndarray | None = None) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The words, and (slot types, places, hashes) of the windows of each reading that have enough literal words.
+
+    A window that a reading shares with an earlier one is left out; with ``bits`` also those without their bit.
+    """
+    lines = [line.split() for line in (text or b"").split(b"\n")]
+    words = [w for line in lines for w in line]
+    starts = np.cumsum([0, *map(len, lines)])
+    out, earlier = [], []
+    for h, slot in templates(words, starts[starts < len(words)]):
+        keys = windows(h, width)
+        if not len(keys):
+            break
+        literal = np.concatenate([[0], np.cumsum(slot == 0)])
+        fit = literal[width:] - literal[:-width] >= least_literal
+        if bits is not None:
+            fit &= with_bit(bits, keys)
+        for other in earlier:
+            fit &= keys != other
+        earlier.append(keys)
+        at = np.flatnonzero(fit)
+        out.append((slot, at, keys[at]))
+    return words, out
 
 
 def _slots(words: list[bytes], slot: np.ndarray, at: int, width: int) -> list[str]:
@@ -90,13 +114,11 @@ def window_table(df: DataFrame, width: int, least_literal: int, bits: np.ndarray
             out: list[list] = [[], [], [], [], []]
             rows = zip(batch.column("id").to_pylist(), batch.column("part").to_pylist(), batch.column("text").cast(pa.binary()), strict=True)
             for row, part, text in rows:
-                words, slot, at, keys = template_windows(text.as_py(), width, least_literal)
-                if bits is not None:
-                    hit = with_bit(bits, keys)
-                    at, keys = at[hit], keys[hit]
-                for a, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                    for column, value in zip(out, (key, row, part, a, _slots(words, slot, a, width)), strict=True):
-                        column.append(value)
+                words, readings = template_windows(text.as_py(), width, least_literal, bits)
+                for slot, at, keys in readings:
+                    for a, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
+                        for column, value in zip(out, (key, row, part, a, _slots(words, slot, a, width)), strict=True):
+                            column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "part", "at", "slots"])
 
@@ -116,7 +138,7 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, row_hash, item_id, windows) of each row and each benchmark item that it repeats.
 
-    Numbers, names and units become typed slots; windows of ``width`` words with
+    Numbers, names and units become typed slots, names also lower-case literals; windows of ``width`` words with
     ``least_literal`` literal ones at least are joined by hash. Along one run of consecutive
     windows that a text shares with an item, each slot value of the item must stand for one
     value of the text (several may stand for the same one), or only the run's windows without

@@ -81,3 +81,12 @@ def test_slot_values_may_meet_and_plain_windows_count(spark):
     bench = spark.createDataFrame([(1, item), (2, long)], "item_id long, text string")
     got = {r.doc_id: r.first_item for r in flag_contaminated(spark.createDataFrame([(1, met), (2, odd)], "doc_id long, text string"), bench).collect()}
     assert got == {1: 1, 2: 2}
+
+
+def test_case_and_line_starts(spark):
+    german = "Der Bauer kauft im Herbst auf dem Markt der Stadt einen Sack Mehl und trägt ihn nach Hause zu seiner Frau"
+    short = "Please count\nBooks that stand on the shelf"  # a line start, eight words
+    bench = spark.createDataFrame([(1, german), (2, short)], "item_id long, text string")
+    docs = [(1, german.lower()), (2, "now " + short.lower()), (3, german.replace("Mehl", "Salz").replace("Bauer", "Müller")), (4, "now " + short.replace("\n", " ")), (5, german.upper())]
+    got = {r.doc_id: r.first_item for r in flag_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench, least_literal=3).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1}

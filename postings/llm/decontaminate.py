@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.common import WordHash, key_bits, materialize, windows, with_bit
 
 WIDTH, LEAST_LITERAL = 8, 4
+#: Items of fewer words than a window are matched whole, down to this many: shorter phrases prove nothing.
+SHORTEST = 4
 #: What counts as a unit after a number.
 UNITS = frozenset(
     b"% percent mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb lbs oz ounce ounces pound pounds ton tons ml cl l liter liters litre litres gallon gallons "
@@ -47,11 +49,12 @@ _tokens = Token(400_000)
 
 
 def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Up to three (hashes, slot types) of the words: 1 number, 2 name, 3 unit after a number, 0 a literal word.
+    """(hashes, slot types) of the words read in up to four ways: 1 number, 2 name, 3 unit after a number, 0 a literal word.
 
     A name is a capitalised word (not one in capitals) that doesn't begin a sentence or the text.
-    The first reading has no names, so that case is no matter; the second has names; the third
-    also where a line starts (``starts``), which may be a sentence's start or a wrapped line.
+    The first reading has no slots at all. The second has no names, so that case is no matter;
+    the third has names; the fourth also where a line starts (``starts``), which may be a
+    sentence's start or a wrapped line.
     """
     h = _tokens.of(words)
     if not len(h):
@@ -60,12 +63,13 @@ def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray,
     h &= ~np.uint64(15)
     capital[0] = False
     capital[1:] &= ~ends[:-1]
+    found = [(h.copy(), np.zeros(len(h), np.int8))]
     plain = np.zeros(len(h), np.int8)
     plain[1:][unit[1:] & number[:-1]] = 3
     plain[number] = 1
     for kind in (1, 3):
         h[plain == kind] = _SLOTS[kind]
-    found = [(h, plain)]
+    found.append((h, plain))
     inner = capital.copy()
     inner[starts] = False
     for name in (inner, capital) if (inner != capital).any() else (inner,):
@@ -77,28 +81,41 @@ def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray,
     return found
 
 
-def template_windows(text: bytes | None, width: int, least_literal: int, bits: np.ndarray | None = None) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """The words, and (slot types, places, hashes) of the windows of each reading that have enough literal words.
+def template_windows(text: bytes | None, widths: tuple[int, ...], least_literal: int, bits: np.ndarray | None = None, whole: bool = False) -> tuple[list[bytes], list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The words, and (width, slot types, places, hashes) of each reading's windows that have enough literal words.
 
-    A window that a reading shares with an earlier one is left out; with ``bits`` also those without their bit.
+    Half of a window's words must be literal, or ``least_literal`` of the widest. The reading
+    without slots has only windows that have too few literal words in the next one: they match
+    word for word alone. A window that a reading shares with an earlier one is left out; with
+    ``bits`` also those without their bit. With ``whole``, a text shorter than the widest
+    window has one window, itself.
     """
     lines = [line.split() for line in (text or b"").split(b"\n")]
     words = [w for line in lines for w in line]
     starts = np.cumsum([0, *map(len, lines)])
-    out, earlier = [], []
-    for h, slot in templates(words, starts[starts < len(words)]):
-        keys = windows(h, width)
-        if not len(keys):
-            break
-        literal = np.concatenate([[0], np.cumsum(slot == 0)])
-        fit = literal[width:] - literal[:-width] >= least_literal
-        if bits is not None:
-            fit &= with_bit(bits, keys)
-        for other in earlier:
-            fit &= keys != other
-        earlier.append(keys)
-        at = np.flatnonzero(fit)
-        out.append((slot, at, keys[at]))
+    widest = max(widths)
+    if whole:
+        widths = (min(widest, len(words)),) if len(words) >= SHORTEST else ()
+    readings = templates(words, starts[starts < len(words)])
+    out = []
+    for width in widths:
+        earlier = []
+        least = -(-least_literal * width // widest)
+        for n, (h, slot) in enumerate(readings):
+            keys = windows(h, width)
+            if not len(keys):
+                break
+            literal = np.concatenate([[0], np.cumsum(readings[max(n, 1)][1] == 0)])
+            fit = (literal[width:] - literal[:-width] >= least) == (n > 0)
+            if bits is not None:
+                fit &= with_bit(bits, keys)
+            for other in earlier:
+                fit &= keys != other
+            if n:
+                earlier.append(keys)
+            at = np.flatnonzero(fit)
+            if len(at):
+                out.append((width, slot, at, keys[at]))
     return words, out
 
 
@@ -107,22 +124,52 @@ def _slots(words: list[bytes], slot: np.ndarray, at: int, width: int) -> list[st
     return [f"{slot[i]}:{words[i].decode('utf-8', 'replace').strip(_EDGES).lower()}" for i in range(at, at + width) if slot[i]]
 
 
-def window_table(df: DataFrame, width: int, least_literal: int, bits: np.ndarray | None = None) -> DataFrame:
-    """(key, id, part, at, slots) of df(id, part, text)'s windows; with ``bits`` only of those whose bit is set."""
+def window_table(df: DataFrame, widths: tuple[int, ...], least_literal: int, bits: np.ndarray | None = None, whole: bool = False) -> DataFrame:
+    """(key, id, part, at, width, slots) of df(id, part, text)'s windows; with ``bits`` only of those whose bit is set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             rows = zip(batch.column("id").to_pylist(), batch.column("part").to_pylist(), batch.column("text").cast(pa.binary()), strict=True)
             for row, part, text in rows:
-                words, readings = template_windows(text.as_py(), width, least_literal, bits)
-                for slot, at, keys in readings:
+                words, readings = template_windows(text.as_py(), widths, least_literal, bits, whole)
+                for width, slot, at, keys in readings:
                     for a, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                        for column, value in zip(out, (key, row, part, a, _slots(words, slot, a, width)), strict=True):
+                        for column, value in zip(out, (key, row, part, a, width, _slots(words, slot, a, width)), strict=True):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "part", "at", "slots"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "part", "at", "width", "slots"])
+
+    return df.mapInArrow(run, "key long, id long, part long, at int, width int, slots array<string>")
+
 
-    return df.mapInArrow(run, "key long, id long, part long, at int, slots array<string>")
+def longest_run(windows: Column) -> Column:
+    """Most consecutive windows whose slots agree, of an array of (at, n_slots, pairs) sorted by place.
+
+    Slots agree if each value of the item stands for one value of the text. A window that
+    contradicts the run before it begins another run. If no run is longer than the windows that
+    contradict themselves are many, only windows without slots count.
+    """
+    agree = lambda pairs: F.size(F.array_distinct(F.transform(pairs, lambda p: p["item_slots"]))) == F.size(pairs)
+    none = F.array().cast("array<struct<item_slots:string,slots:string>>")
+
+    def state(at: Column, pairs: Column, n: Column, best: Column, bad: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), pairs.alias("pairs"), n.cast("int").alias("n"), F.greatest(best, n).cast("int").alias("best"), bad.cast("int").alias("bad"))
+
+    def step(s: Column, x: Column) -> Column:
+        both, own, here = F.array_union(s["pairs"], x["pairs"]), F.array_distinct(x["pairs"]), x["at"] == s["at"]
+        longer = (s["n"] > 0) & (x["at"] == s["at"] + 1) & agree(both)
+        # several readings of one place: the one with the fewest slots comes first, and one that fits is enough
+        return (
+            F.when((s["n"] > 0) & here, s)
+            .when(longer, state(x["at"], both, s["n"] + 1, s["best"], s["bad"]))
+            .when(agree(own), state(x["at"], own, F.lit(1), s["best"], s["bad"] - F.when(here, 1).otherwise(0)))
+            .otherwise(state(x["at"], none, F.lit(0), s["best"], s["bad"] + F.when(here, 0).otherwise(1)))
+        )
+
+    bare = F.size(F.filter(windows, lambda x: x["n_slots"] == 0))
+    start = state(F.lit(-2), none, F.lit(0), F.lit(0), F.lit(0))
+    return F.aggregate(windows, start, step, lambda s: F.when(s["best"] > s["bad"], s["best"]).otherwise(bare))
 
 
 def contamination(
@@ -138,32 +185,29 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, row_hash, item_id, windows) of each row and each benchmark item that it repeats.
 
-    Numbers, names and units become typed slots, names also lower-case literals; windows of ``width`` words with
-    ``least_literal`` literal ones at least are joined by hash. Along one run of consecutive
-    windows that a text shares with an item, each slot value of the item must stand for one
-    value of the text (several may stand for the same one), or only the run's windows without
-    slots count. Null texts and ids match nothing; items of
-    fewer than ``width`` words match nothing; either table may be empty.
+    Numbers, names and units become typed slots, names also lower-case literals; windows of
+    ``width`` words with ``least_literal`` literal ones at least are joined by hash, windows
+    with fewer only word for word. ``windows`` is the longest run of consecutive windows that
+    a text shares with an item and along which each slot value of the item stands for one value
+    of the text (several may stand for the same one): an altered slot ends a run, and does not
+    hide the rest (see ``longest_run``). An item of fewer than ``width`` words is one window as a whole; items of
+    fewer than SHORTEST words, null texts and null ids match nothing; either table may be empty.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("part"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.lit(0).cast("long").alias("part"), F.col(item_text_col).cast("string").alias("text"))
-    known = materialize(window_table(items.where("id is not null and text is not null"), width, least_literal), "benchmark")
+    known = materialize(window_table(items.where("id is not null and text is not null"), (width,), least_literal, whole=True), "benchmark")
     bits = key_bits(known, known.count())
-    seen = window_table(docs.where("id is not null and text is not null"), width, least_literal, bits)
-    y = known.select("key", F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-    met = seen.join(y, "key").select(
+    widths = tuple(sorted({width, *(r[0] for r in known.select("width").distinct().collect())}))  # width - SHORTEST + 1 numbers at most
+    seen = window_table(docs.where("id is not null and text is not null"), widths, least_literal, bits)
+    y = known.select("key", F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("width").alias("item_width"), F.col("slots").alias("item_slots"))
+    met = seen.join(y, "key").where("width = item_width").select(
         F.col("id").alias("doc_id"), F.col("part").alias("row_hash"), "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at",
         F.arrays_zip("item_slots", "slots").alias("pairs"),
     )
-    # an alignment has at most one window a word of the item, so its windows and slots are few
-    line = ["doc_id", "row_hash", "item_id", "shift"]
-    runs = met.withColumn("run", F.col("item_at") - F.dense_rank().over(Window.partitionBy(*line).orderBy("item_at")))
-    bare = F.when(F.size("pairs") == 0, F.col("item_at"))
-    lined = runs.groupBy(*line, "run").agg(
-        F.size(F.collect_set("item_at")).alias("all"), F.size(F.collect_set(bare)).alias("bare"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
-    one = F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")
-    lined = lined.withColumn("windows", F.when(one, F.col("all")).otherwise(F.col("bare")).cast("long"))
+    # an alignment has at most a few windows a word of the item
+    window = F.struct(F.col("item_at").alias("at"), F.size("pairs").alias("n_slots"), "pairs")
+    lined = met.groupBy("doc_id", "row_hash", "item_id", "shift").agg(F.array_sort(F.collect_set(window)).alias("windows"))
+    lined = lined.withColumn("windows", longest_run(F.col("windows")).cast("long"))
     return lined.where("windows > 0").groupBy("doc_id", "row_hash", "item_id").agg(F.max("windows").alias("windows"))
 
 

@@ -65,6 +65,70 @@ def test_leaks(spark):
     assert len(none) == len(rows) and not any(r.contaminated for r in none)
 
 
+def brute_leak(text, item, width=8, least=4):
+    """Plain words only: whether windows of the item stand in the text, numbers apart, each number for one other."""
+    cut = lambda t: [w.strip(".,;:!?").lower() for w in t.split()]
+    a, b = cut(text), cut(item)
+    width, least = min(width, len(b)), -(-least * min(width, len(b)) // width)
+    for shift in range(-len(b), len(a)):
+        best = n = bad = bare = 0
+        run = {}
+        for j in range(len(b) - width + 1):
+            i = j + shift
+            if i < 0 or i + width > len(a):
+                continue
+            x, y = a[i : i + width], b[j : j + width]
+            free = sum(not w.isdigit() for w in y) >= least
+            if not all((p.isdigit() and q.isdigit()) if free and q.isdigit() else p == q for p, q in zip(x, y)):
+                n = 0
+                continue
+            slots = [(q, p) for p, q in zip(x, y) if q.isdigit() and free]
+            fits = lambda have: all(have.setdefault(q, p) == p for q, p in slots)
+            bare += not slots
+            if n and fits(joint := dict(run)):
+                n, run = n + 1, joint
+            elif fits(run := {}):
+                n = 1
+            else:
+                n, bad = 0, bad + 1
+            best = max(best, n)
+        if best > bad or bare:
+            return True
+    return False
+
+
+def test_leaks_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    words = [a + b for a in "bcdfglmnprst" for b in ("ab", "ek", "ol", "um")]
+    some = lambda n: [str(rnd.randint(2, 9)) if rnd.random() < 0.3 else rnd.choice(words) for _ in range(n)]
+    items = [(i, " ".join(some(rnd.choice([3, 4, 5, 6, 7, 9, 14, 22])))) for i in range(60)]
+    docs = []
+    for d in range(400):
+        w = some(rnd.randint(0, 30))
+        if d % 2:
+            part = rnd.choice(items)[1].split()
+            part = part[rnd.randint(0, 3) :] if len(part) > 12 and d % 4 == 1 else part
+            part = [str(rnd.randint(2, 9)) if x.isdigit() and rnd.random() < 0.3 else x for x in part]
+            at = rnd.randint(0, len(w))
+            w[at:at] = part
+        docs.append((d, " ".join(w)))
+    got = {r.doc_id: (r.n_items, r.first_item) for r in flag_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for d, text in docs:
+        hits = [i for i, item in items if len(item.split()) >= 4 and brute_leak(text, item)]
+        assert got[d] == (len(hits), min(hits, default=None)), (d, text, hits)
+    assert sum(n > 0 for n, _ in got.values()) > 100
+
+
+def test_edited_slot_and_short_item(spark):
+    edited = ITEM[::-1].replace("120"[::-1], "121"[::-1], 1)[::-1]
+    bench = spark.createDataFrame([(1, ITEM), (2, "What is the capital of France?")], "item_id long, text string")
+    docs = [(1, "so " + edited), (2, "Then they asked what is the capital of Spain and left"), (3, "what is the capital of a firm"), (4, ITEM.replace("120 km in", "250 km in"))]
+    got = {r.doc_id: r.first_item for r in flag_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert edited.endswith("121 km again") and got == {1: 1, 2: 2, 3: None, 4: 1}
+
+
 def test_slots_must_be_consistent(spark):
     item = "Put 5 red balls and 7 blue balls in the box then take 5 balls out of it again"
     same, mixed = item.replace("5", "9").replace("7", "4"), item.replace("Put 5", "Put 9").replace("7", "4")

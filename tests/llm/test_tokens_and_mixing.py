@@ -76,3 +76,14 @@ def test_mixing_odd_rows(spark):
     assert mix(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
     none = spark.createDataFrame([("z", 1.0)], "source string, weight double")
     assert mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=none).collect() == []
+
+
+def test_any_rate_and_clashing_columns(spark):
+    rows = [(i, "a", "text", "mine") for i in range(3000)] + [(3000, "b", "text", "mine")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, mix_id string, mix_source string")
+    weights = spark.createDataFrame([("a", 0.1), ("b", 0.9)], "source string, weight double")
+    got = mix(df, weights=weights).groupBy("source", "mix_id", "mix_source").count().collect()
+    n = {r.source: r["count"] for r in got}
+    assert {(r.mix_id, r.mix_source) for r in got} == {("text", "mine")}
+    assert abs(n["b"] - 2700.9) < 6 * 52 and 200 < n["a"] < 400
+    assert mix(df, weights=weights).where("source = 'b'").select("mix_copy").distinct().count() == n["b"]

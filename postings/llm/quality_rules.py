@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from postings.llm.common import SPACE_CLASS, WORD_CLASS
 
-SAMPLE_DOCS = 1000
+#: Documents of the sample, how often each rule is timed, and how often it then judges each of them.
+SAMPLE_DOCS, TIMES, REPEATS = 1000, 3, 10
 #: A word's place takes the low 20 bits of a window's sort key; longer texts use whole structs instead.
 PLACE_BITS = 20
 
@@ -101,30 +103,38 @@ def with_base(df: DataFrame, text: Column, id_col: Column) -> DataFrame:
 
 
 def cascade_order(sample: DataFrame, rules: tuple[Rule, ...]) -> list[Rule]:
-    """Rules by rejected share per second on the sample, best first (ties by name).
+    """Rules by rejected share per cost on the sample, best first (ties by name).
 
-    Each rule runs alone over the cached sample: the time of that run is its cost, the share
-    it rejects its selectivity.
+    A rule's cost is the least time of TIMES runs, in turns with the other rules, in which it
+    judges each cached row REPEATS times, less that of a run that judges nothing. Costs are
+    rounded to powers of two, so that what else the machine does seldom changes the order.
     """
     n = max(1, sample.count())
-    worth = {}
-    for rule in rules:
-        began = time.perf_counter()
-        hits = sample.where(F.expr(rule.fails)).count()
-        worth[rule.name] = (hits / n) / max(time.perf_counter() - began, 1e-6)
-    return sorted(rules, key=lambda r: (-worth[r.name], r.name))
+    many = sample.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+    hits: dict[str, int] = {}
+    took = {"": float("inf")} | {r.name: float("inf") for r in rules}
+    for _ in range(TIMES):
+        for name, fails in [("", "again < 0"), *((r.name, r.fails) for r in rules)]:
+            began = time.perf_counter()
+            found = many.where(F.expr(fails)).agg(F.count(F.lit(1))).first()[0]
+            took[name] = min(took[name], time.perf_counter() - began)
+            hits[name] = found // REPEATS
+    cost = {r.name: 2.0 ** round(math.log2(max(took[r.name] - took[""], 1e-3))) for r in rules}
+    return sorted(rules, key=lambda r: (-(hits[r.name] / n) / cost[r.name], r.name))
 
 
 def quality_rules(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Each row's base counts, ``base_failed``, ``kept`` and ``failed_rule`` (the first that rejected it).
 
-    The order of the cascade comes from ``sample_docs`` rows; it decides which rules are
+    The order of the cascade comes from about ``sample_docs`` rows drawn from all; it decides which rules are
     evaluated and which is named, never the verdict, which is that no rule rejects. Null text
     counts as empty (it fails the base rule); rows with null or repeated ids are judged like
     others; an empty table gives an empty result.
     """
     source = F.col(text_col).cast("string"), F.col(id_col).cast("long")
-    sample = with_base(df.limit(sample_docs), *source).cache()
+    # a sample of all rows, not the first ones; counting reads no text
+    drawn = df.sample(min(1.0, sample_docs / max(1, df.count())), seed=11)
+    sample = with_base(drawn, *source).cache()
     order = cascade_order(sample, rules)
     sample.unpersist()
     base = with_base(df, *source).withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))

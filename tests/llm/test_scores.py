@@ -108,3 +108,11 @@ def test_long_texts_use_whole_keys(spark, monkeypatch):
     rows = [(i, " ".join(rnd.choice("abc") for _ in range(rnd.randint(10, 60)))) for i in range(30)]
     for r in module.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         assert r.n_repeat_words == brute_rules(dict(rows)[r.doc_id])[4]
+
+
+def test_cascade_order_is_by_rejection_per_cost(spark):
+    from postings.llm.quality_rules import Rule, cascade_order
+
+    rows = spark.range(500).selectExpr("id as doc_id", "repeat('abc def ', 200) as text", "id % 10 as n_words").cache()
+    cheap, dear, idle = Rule("cheap", "n_words < 4"), Rule("dear", "length(regexp_replace(text, '[^\\\\p{Lu}]', '')) >= 0 and n_words < 5"), Rule("idle", "n_words > 20")
+    assert [r.name for r in cascade_order(rows, (idle, dear, cheap))] == ["cheap", "dear", "idle"]

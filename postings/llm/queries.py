@@ -111,7 +111,7 @@ def op5_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = """
 WITH r AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS body FROM conversations
 ), t AS (
   SELECT r.*, perspective, CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
     ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head

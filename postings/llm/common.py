@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -24,9 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     A session on a cluster must name the folder; a machine-local one would lose rows there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
     context = spark.sparkContext
+    if found:
+        # a path without a scheme means Spark's default file system, for Python writers too
+        path = context._jvm.org.apache.hadoop.fs.Path(found)
+        full = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        return full.replace("file:/", "file:///", 1).rstrip("/") if re.match("file:/[^/]", full) else full.rstrip("/")
     if not context.master.startswith("local[") and context.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own_dir:

@@ -161,7 +161,10 @@ def encoder(path: str) -> Encoder:
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if ":" in uri else (pafs.LocalFileSystem(), uri)
+    """The file system of a full URI; a path without a scheme could mean another one to Spark than here."""
+    if ":" not in uri:
+        raise ValueError(f"token files need a full URI, not {uri}")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def write_token_files(

@@ -29,8 +29,9 @@ from postings.llm.labelled import dual_coordinate_descent, held_out, training_ro
 LONGEST, SPAN, DECAY = 16, 7, 0.7
 #: Labelled documents a class to learn from, landmarks, words of clean sentences to learn from.
 TRAIN_ROWS, LANDMARKS, CLEAN_WORDS = 3000, 600, 6000
-#: Different words before it, and after it, that a word of toxic sentences needs to be a positive unit.
-LEAST_CONTEXTS = 4
+#: Different words before it, and after it, that a word of toxic sentences needs to be a positive unit, and how
+#: many times as often it must stand in them as in clean ones (a few wrong labels, or quotations, do no harm).
+LEAST_CONTEXTS, LEAST_RATIO = 4, 20.0
 #: A document's score is 0.7 at the margin that best parts held-back labelled ones, and rises with this slope.
 THRESHOLD, SLOPE = 0.7, 2.0
 _TRIPLES = np.array([t for t in combinations(range(LONGEST + 2), 3) if t[2] - t[0] < SPAN])
@@ -99,7 +100,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def joined(words: list[str]) -> list[str]:
-    """Runs of words of one or two characters, put together: insults spelt with spaces."""
+    """Runs of words of one or two characters, put together, and the letters of words with signs between them."""
     out, run = [], []
     for w in [*words, "longer"]:
         if len(w) <= 2:
@@ -108,13 +109,21 @@ def joined(words: list[str]) -> list[str]:
             if len(run) >= 3:
                 out.append("".join(run))
             run = []
-    return out
+    out += ["".join(c for c in w if c.isalpha()) for w in words if not w.isalpha() and not bare(w).isalpha()]
+    return [w for w in out if w]
+
 
+def disguised(word: str) -> list[tuple[str, float]]:
+    """Spellings of a word with shares of its weight: a sign or its own letter put in, two letters put in, one left out.
 
-def disguised(word: str) -> list[str]:
-    """A word with a sign or its own letter put in at each place, and with signs between all letters."""
-    inner = [word[:i] + c + word[i:] for i in range(1, len(word)) for c in (".", word[i - 1])]
-    return [v for v in [*inner, ".".join(word), "-".join(word)] if len(v) <= LONGEST]
+    Signs between all letters need none: the letters of such a word are a unit of their own.
+    """
+    inner = range(1, len(word))
+    one = [word[:i] + c + word[i:] for i in inner for c in (".", word[i - 1])]
+    two = [word[:i] + a + word[i:j] + b + word[j:] for i in inner for j in inner if i < j for a, b in ("xe", "aq", "ht")]
+    left = [word[:i] + word[i + 1 :] for i in range(1, len(word) - 1)] if len(word) > 4 else []
+    kinds = ((one, 2.0), (two, 2.5), (left, 2.5))
+    return [(v, share / len(kind)) for kind, share in kinds for v in kind if len(v) <= LONGEST]
 
 
 def bare(word: str) -> str:
@@ -209,11 +218,12 @@ def _landmarks(units: list[str], most: int) -> list[str]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, clean_words: int = CLEAN_WORDS) -> Model:
     """A model from at most ``train_rows`` labelled documents a class.
 
-    Distinct sentences take their document's label. Words that stand among several
-    different neighbours in toxic sentences and in no clean one are the positive units, their
-    disguised spellings with a tenth of their weight; words of clean
-    sentences are the negative ones, those that a first model takes for positive added in two
-    further rounds. Three documents of ten only calibrate the score.
+    Distinct sentences take their document's label, words that of their sentences: those that
+    stand among several different neighbours in toxic sentences, and LEAST_RATIO times as often
+    there as in clean ones, are the positive units, with their disguised spellings; words of
+    clean sentences are the negative ones: the ``clean_words`` most frequent and, of all others,
+    those that a first model takes for positive, in two further rounds. Three documents of ten
+    only calibrate the score.
     """
     rows = training_rows(docs, labels, label, train_rows).toPandas().sort_values("doc_id", kind="stable")
     y = rows["label"].to_numpy()
@@ -230,11 +240,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows:
     for s in sentences[0]:
         clean.update({bare(w) for w in s.split()})
     around = defaultdict(set)
-    for s in sentences[1] - sentences[0]:
+    toxic: Counter = Counter()
+    sentences = (sentences[0], sentences[1] - sentences[0])
+    for s in sentences[1]:
         line = ["", *map(bare, s.split()), ""]
+        toxic.update(set(line))
         for before, w, after in zip(line, line[1:], line[2:]):
-            if w not in clean and len(w) >= 3:
+            if len(w) >= 3:
                 around[w].add((before, after))
+    scale = max(1, len(sentences[0])) / max(1, len(sentences[1]))
+    around = {w: n for w, n in around.items() if toxic[w] * scale >= LEAST_RATIO * clean[w]}
     # the words of one copied text keep their neighbours; an insult stands among many
     some = sorted((w for w, n in around.items() if len({a for a, _ in n}) >= LEAST_CONTEXTS and len({b for _, b in n}) >= LEAST_CONTEXTS), key=lambda w: (-len(around[w]), w))
     if not some or not clean:
@@ -244,10 +259,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, train_rows:
     weighed = {p: np.sqrt(len(around[w]) / LEAST_CONTEXTS) for w in reversed(some) for p in pieces(w)}
     seen = list(weighed)
     for w in seen:
-        for v in disguised(w):
-            weighed.setdefault(v, 0.1 * weighed[w])
+        for v, share in disguised(w):
+            weighed.setdefault(v, share * weighed[w])
     positive, times = list(weighed), list(weighed.values())
-    clean_units = [p for w, _ in sorted(clean.items(), key=lambda r: (-r[1], r[0])) if len(w) >= 3 for p in pieces(w)]
+    clean_units = [p for w, _ in sorted(clean.items(), key=lambda r: (-r[1], r[0])) if len(w) >= 3 and w not in weighed for p in pieces(w)]
     negative = clean_units[:clean_words]
     hard = negative[:1500]
     for _ in range(3):

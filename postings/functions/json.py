@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TRACKING = re.compile(r"(trace|tracking|queryid|query_id|solid|sol_id)", re.IGNORECASE)
-SECRET_KEY = re.compile(r"(authorization|cookie|token|secret|password|session|csrf|api_?key)", re.IGNORECASE)
+SECRET_KEY = re.compile(r"(authorization|bearer|cookie|csrf|token|secret|credential|password|session|visitor|device|database_?url|db_?url|api_?key)", re.IGNORECASE)
 REDACTED = "<redacted>"
 
 

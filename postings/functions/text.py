@@ -41,9 +41,9 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " "), SPACE, " "))
 
 
-def paragraph_count(c: Column) -> Column:
-    """Parts between sentence ends of the tag-free text (newlines are gone by then)."""
-    parts = F.split(strip_tags(c), r"[\n\r]+|[.!?]\s+")
+def paragraph_count(c: Column, plain: Column | None = None) -> Column:
+    """Parts between sentence ends of the tag-free text (newlines are gone by then), given as ``plain`` if it is known."""
+    parts = F.split(strip_tags(c) if plain is None else plain, r"[\n\r]+|[.!?]\s+")
     return F.size(F.filter(parts, lambda p: F.trim(p) != "")).cast("long")
 
 
@@ -51,9 +51,9 @@ def word_count(c: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(c, F.lit("")), SPACE), lambda w: w != "")).cast("long")
 
 
-def token_estimate(c: Column) -> Column:
+def token_estimate(c: Column, words: Column | None = None) -> Column:
     """1.35 tokens a word, one at least, none for an empty text; halves round to even."""
-    return F.when(F.coalesce(c, F.lit("")) == "", 0).otherwise(F.greatest(F.lit(1), F.bround(word_count(c) * F.lit(1.35)))).cast("long")
+    return F.when(F.coalesce(c, F.lit("")) == "", 0).otherwise(F.greatest(F.lit(1), F.bround((word_count(c) if words is None else words) * F.lit(1.35)))).cast("long")
 
 
 def _hits(padded: Column, tokens: tuple[str, ...]) -> Column:

@@ -49,9 +49,10 @@ def outcome(status: Column) -> Column:
 
 def halved_sizes(attempts: DataFrame, scope: list[str], order: list[str], start: int, least: int = 1) -> DataFrame:
     """The chunk size after each run's attempts: halved after every retryable failure, never below ``least``."""
-    folded = attempts.groupBy(*scope).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, outcome(F.col("status")).alias("o")))), lambda x: x["o"]).alias("o"))
-    size = F.aggregate("o", F.lit(start), lambda s, o: F.when(o == "retryable", F.greatest(F.floor(s / 2).cast("int"), F.lit(least))).otherwise(s))
-    return folded.select(*scope, size.alias("chunk_size"))
+    # halvings commute with attempts of other outcomes, so their number is enough
+    folded = attempts.groupBy(*scope).agg(F.count_if(outcome(F.col("status")) == "retryable").alias("n"))
+    size = F.when(F.col("n") == 0, start).otherwise(F.greatest(F.floor(F.lit(start) / F.pow(F.lit(2.0), F.least("n", F.lit(60)))), F.lit(least)))
+    return folded.select(*scope, size.cast("int").alias("chunk_size"))
 
 
 def base_run_id(c: Column) -> Column:

@@ -20,8 +20,9 @@ def warnings(found: DataFrame, rules: list[tuple[str, str, str, float]]) -> Data
 
 
 def failure_summary(df: DataFrame, failed: Column, by: list[Column]) -> DataFrame:
-    """Failures by category, most frequent first; nulls are a category."""
-    return df.where(failed).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    """Failures by category, most frequent first, then by category; nulls are a category and come last."""
+    counts = df.where(failed).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), *(F.asc_nulls_last(c) for c in counts.columns[:-1]))
 
 
 def model_usage(logs: DataFrame, model: Column, status: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postings.functions import clean_html, html, identity, json, redact, requirements, roles, salary, text
-from postings.operators import delivery, keyed, ledgers, quality, reports, validate
+from postings.operators import delivery, keyed, ledgers, quality, reports, runs, validate
 from postings.plans import dataset
 from postings.sources import captures, mappers
 
@@ -220,10 +220,11 @@ SELECT l_orderkey, count(*) AS n_children, count(*) FILTER (l_returnflag = 'R')
 def per_listing_children(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     place = F.struct("l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "p_name")
+    names = F.transform(F.array_sort(F.collect_list(place)), lambda x: x["p_name"])  # a listing's lines are few
     return rows.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_children"), F.count_if(F.col("l_returnflag") == "R").alias("n_r"), F.count_if(F.col("l_returnflag") == "A").alias("n_a"),
-        F.count_distinct("p_name").alias("n_names"), F.bround(F.sum(F.bround(F.col("l_discount") * 100).cast("long")) / F.count(F.lit(1)), 2).alias("avg_percent"), F.bround(F.min("l_discount"), 4).alias("min_confidence"),
-        F.bround(F.max("l_discount"), 4).alias("max_confidence"), F.array_join(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["p_name"]), " || ").alias("names_concat"),
+        F.size(F.array_distinct(names)).cast("long").alias("n_names"), F.bround(F.sum(F.bround(F.col("l_discount") * 100).cast("long")) / F.count(F.lit(1)), 2).alias("avg_percent"), F.bround(F.min("l_discount"), 4).alias("min_confidence"),
+        F.bround(F.max("l_discount"), 4).alias("max_confidence"), F.array_join(names, " || ").alias("names_concat"),
     )
 
 
@@ -303,8 +304,10 @@ def delivery_candidates(spark, sf_dir):
 @query(DELIVERY + "SELECT user_id, min(day) AS first_day, count(*) AS n_sent FROM d WHERE state = 'sent' GROUP BY user_id")
 def handoff_idempotent(spark, sf_dir):
     sent = ledgers.delivery_state(_attempts(spark, sf_dir), ["user_id", "day"]).where("state = 'sent'")
-    twice = sent.unionByName(sent)  # a second run hands nothing on again
-    once = twice.select("user_id", "day").distinct()
+    # the ledger of a first run; a second one over all sent events adds only what is new
+    keys = ["user_id", "day"]
+    ledger = runs.handoff(sent.limit(0), sent.where("day < '2024-01-16'"), keys)
+    once = ledger.unionByName(runs.handoff(ledger, sent, keys))
     return once.groupBy("user_id").agg(F.min("day").alias("first_day"), F.count(F.lit(1)).alias("n_sent"))
 
 
@@ -363,9 +366,9 @@ WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', '
 p AS (SELECT *, len(list_filter(regexp_split_to_array(plain, '[.!?]\s+'), lambda x: trim(x) <> ''))::BIGINT AS paragraphs, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))::BIGINT AS words FROM t)
 SELECT doc_id, length(plain)::BIGINT AS plain_chars, sha256(plain) AS plain_sha, paragraphs, words, CASE WHEN text = '' THEN 0 ELSE greatest(1, round_even(words * 1.35::DOUBLE, 0)) END::BIGINT AS tokens FROM p""")
 def clean_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    plain = text.strip_tags(F.col("text"))
-    return docs.select("doc_id", F.length(plain).cast("long").alias("plain_chars"), F.sha2(plain, 256).alias("plain_sha"), text.paragraph_count(F.col("text")).alias("paragraphs"), text.word_count(F.col("text")).alias("words"), text.token_estimate(F.col("text")).alias("tokens"))
+    c, plain, words = F.col("text"), F.col("plain"), F.col("words")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", text.strip_tags(c).alias("plain"), text.word_count(c).alias("words"))
+    return docs.select("doc_id", F.length(plain).cast("long").alias("plain_chars"), F.sha2(plain, 256).alias("plain_sha"), text.paragraph_count(c, plain).alias("paragraphs"), "words", text.token_estimate(c, words).alias("tokens"))
 
 
 @query(r"""
@@ -385,13 +388,14 @@ def keyword_tokens(spark, sf_dir):
 
 
 @query(r"""
-WITH m AS (SELECT doc_id, regexp_replace(regexp_replace(text, '•| - ', chr(10), 'g'), '([.;:])\s+', '\1' || chr(10), 'g') AS t FROM documents WHERE lang = 'en'),
+WITH m AS (SELECT doc_id, regexp_replace(regexp_replace(text, '•| - ', chr(10), 'g'), '([.;:])\s+', '\1' || chr(10), 'g') AS t FROM documents),
 i AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(t, '\n+'), lambda x: trim(regexp_replace(x, '^[-*]\s+', ''))), lambda x: x <> '') AS a FROM m),
-k AS (SELECT doc_id, list_filter(a, lambda x, n: list_position(list_transform(a, lambda y: lower(y)), lower(x)) = n) AS a FROM i)
+l AS (SELECT doc_id, a, list_transform(a, lambda y: lower(y)) AS b FROM i),
+k AS (SELECT doc_id, list_filter(a, lambda x, n: list_position(b, b[n]) = n) AS a FROM l)
 SELECT doc_id, len(a)::BIGINT AS n_items, sha256(array_to_string(a, chr(10))) AS items_sha FROM k""")
 def requirement_split(spark, sf_dir):
     items = requirements.split_items(F.col("text"))
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", items.alias("a")).select("doc_id", F.size("a").cast("long").alias("n_items"), F.sha2(F.array_join("a", "\n"), 256).alias("items_sha"))
+    return table(spark, sf_dir, "documents").select("doc_id", items.alias("a")).select("doc_id", F.size("a").cast("long").alias("n_items"), F.sha2(F.array_join("a", "\n"), 256).alias("items_sha"))
 
 
 @query(rf"""
@@ -504,7 +508,8 @@ def role_families(spark, sf_dir):
 def _pages(orders: DataFrame, source: str) -> DataFrame:
     """Pages of 25 orders as a source would send them; every 20th order has no id, every 50th page no list."""
     entry = F.struct(
-        F.when(F.col("o_orderkey") % 20 > 0, F.col("o_orderkey").cast("string")).alias("id"), F.concat(F.lit("s-"), F.col("o_orderkey").cast("string")).alias("slug"), F.col("o_orderpriority").alias("positionName")
+        F.when(F.col("o_orderkey") % 20 > 0, F.col("o_orderkey").cast("string")).alias("id"), F.concat(F.lit("s-"), F.col("o_orderkey").cast("string")).alias("slug"), F.col("o_orderpriority").alias("positionName"),
+        F.struct(F.col("o_orderstatus").alias("name")).alias("company"),
     )
     page = orders.groupBy(F.floor(F.col("o_orderkey") / 125).alias("page_id")).agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), entry.alias("e")))).alias("a"))
     text = F.to_json(F.transform("a", lambda x: x["e"]))
@@ -693,6 +698,146 @@ def failure_categories(spark, sf_dir):
     return reports.failure_summary(table(spark, sf_dir, "events"), F.col("event_type").isin("error", "login"), [F.col("event_type"), endpoint])
 
 
+# --- runs, pages, work items, set differences
+
+
+@query("""
+SELECT event_id FROM events WHERE event_type = 'error' AND event_id % 4 IN (0, 1) AND event_id % 5 < 3 AND ts <= TIMESTAMP '2024-01-31' ORDER BY ts, event_id LIMIT 50""")
+def ready_work(spark, sf_dir):
+    status = F.element_at(F.array(*map(F.lit, ("pending", "failed", "running", "done"))), (F.col("event_id") % 4 + 1).cast("int"))
+    items = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("type"), status.alias("status"), F.col("ts").alias("available_at"), (F.col("event_id") % 5).alias("attempts"))
+    return runs.ready_work(items, "error", F.expr(NOW), ["available_at", "event_id"], 50).select("event_id")
+
+
+@query("""
+WITH w AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'completed' WHEN event_id % 5 >= 3 THEN 'dead-letter' ELSE 'failed' END AS status, ts, event_id % 5 AS n FROM events)
+SELECT event_id, status, CASE WHEN status = 'failed' THEN (ts + to_seconds(60 * n))::VARCHAR END AS available_at FROM w""")
+def work_states(spark, sf_dir):
+    n = F.col("event_id") % 5
+    state = runs.work_state(F.col("event_type") == "purchase", n, F.col("ts"), F.make_dt_interval(secs=n * 60))
+    return table(spark, sf_dir, "events").select("event_id", state.alias("s")).select("event_id", "s.status", F.col("s.available_at").cast("string").alias("available_at"))
+
+
+@query("""
+SELECT user_id, CASE WHEN bool_or(event_type = 'error') THEN 'failed' WHEN bool_or(event_type = 'login') THEN 'partial' ELSE 'completed' END AS status FROM events GROUP BY user_id""")
+def worst_stage_status(spark, sf_dir):
+    status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "login", "partial").otherwise("completed")
+    return runs.worst_status(table(spark, sf_dir, "events"), ["user_id"], status)
+
+
+@query("""
+WITH e AS (SELECT ts::DATE::VARCHAR AS run, ts, event_id, event_type, CASE WHEN event_id % 3 > 0 THEN props END AS setting, event_id % 10 AS pages FROM events),
+c AS (SELECT run, string_agg(event_type || ':' || n, ',' ORDER BY event_type) AS stops FROM (SELECT run, event_type, count(*) AS n FROM e GROUP BY ALL) GROUP BY run)
+SELECT run, min_by(setting, (ts, event_id)) FILTER (setting IS NOT NULL) AS setting, min(ts)::VARCHAR AS first_at, max(ts)::VARCHAR AS last_at, sum(pages)::BIGINT AS pages, any_value(stops) AS stops
+FROM e JOIN c USING (run) GROUP BY run""")
+def metadata_rollup(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.to_date("ts").cast("string").alias("run"), "ts", "event_id", "event_type", F.when(F.col("event_id") % 3 > 0, F.col("props")).alias("setting"), (F.col("event_id") % 10).alias("pages"))
+    out = runs.metadata_rollup(events, ["run"], ["ts", "event_id"], "ts", ["setting"], ["pages"], "event_type")
+    stops = F.array_join(F.transform(F.map_entries("histogram"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",")
+    return out.select("run", "setting", F.col("first_at").cast("string").alias("first_at"), F.col("last_at").cast("string").alias("last_at"), "pages", stops.alias("stops"))
+
+
+@query("""
+SELECT user_id % 7 AS model, count(*) FILTER (event_type IN ('click', 'view')) AS requests, count(*) FILTER (event_type = 'error') AS failed FROM events WHERE event_type IN ('click', 'view', 'error') GROUP BY 1""")
+def merged_counters(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("model", F.col("user_id") % 7)
+    asked = events.where("event_type in ('click', 'view')").groupBy("model").agg(F.count(F.lit(1)).alias("requests"))
+    lost = events.where("event_type = 'error'").groupBy("model").agg(F.count(F.lit(1)).alias("failed"))
+    return runs.merge_counters([asked, lost], ["model"], ["requests", "failed"])
+
+
+@query("""
+SELECT o_orderpriority AS source, o_orderstatus AS keyword, count(*) AS attempted, count(*) FILTER (o_orderkey % 5 > 0) AS succeeded, count(*) FILTER (o_orderkey % 5 = 0) AS failed,
+  sum(o_orderkey % 3)::BIGINT AS deduped, sum(o_orderkey % 2)::BIGINT AS truncated, max_by('stop-' || (o_orderkey % 4), o_orderkey) AS stop_reason FROM orders GROUP BY ALL""")
+def page_coverage(spark, sf_dir):
+    k = F.col("o_orderkey")
+    pages = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("source"), F.col("o_orderstatus").alias("keyword"), k, (k % 5 > 0).alias("ok"), (k % 3 + 10).alias("n_rows"), F.lit(10).alias("n_kept"),
+        (k % 2).alias("n_truncated"), F.concat(F.lit("stop-"), (k % 4).cast("string")).alias("stop_reason"),
+    )
+    return runs.page_coverage(pages, ["source", "keyword"], ["o_orderkey"])
+
+
+@query("""
+WITH c AS (SELECT source, sha256(text) AS k, count(*) AS n FROM documents GROUP BY ALL) SELECT source, sum(n - 1)::BIGINT AS dropped FROM c GROUP BY source""")
+def page_duplicates(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("external_id"), "doc_id", "lang")
+    return runs.dedup_pages(rows, ["source"], "external_id", ["doc_id"])[1]
+
+
+@query("""
+WITH m AS (SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)) SELECT (SELECT count(*) FROM m) AS n, (SELECT array_to_string(list(doc_id ORDER BY doc_id), ',') FROM (SELECT doc_id FROM m ORDER BY doc_id LIMIT 20)) AS first""")
+def missing_decisions(spark, sf_dir):
+    out = runs.missing_ids(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+    return out.select("n", F.array_join(F.transform("first", lambda x: x.cast("string")), ",").alias("first"))
+
+
+@query("""
+WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT DISTINCT user_id AS k FROM events)
+SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'enabled_only' ELSE 'present_only' END AS side FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
+def source_differences(spark, sf_dir):
+    enabled, present = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf_dir, "events").select(F.col("user_id").alias("k"))
+    return runs.differences(enabled, present, "k", "enabled_only", "present_only")
+
+
+@query("SELECT source, count(*) AS n, least(count(*), 25) AS target FROM documents GROUP BY source")
+def sample_targets(spark, sf_dir):
+    return runs.sample_targets(table(spark, sf_dir, "documents"), "source", 25)
+
+
+@query("""
+WITH r AS (SELECT user_id, event_type, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS ms FROM events GROUP BY ALL)
+SELECT user_id, max(ms) FILTER (event_type = 'click') AS click_ms, max(ms) FILTER (event_type = 'view') AS view_ms, max(ms) FILTER (event_type = 'purchase') AS purchase_ms FROM r GROUP BY user_id""")
+def stage_durations(spark, sf_dir):
+    stages = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("started_at"), F.max("ts").alias("finished_at"))
+    return runs.stage_durations(stages, "user_id", "event_type", ["click", "view", "purchase"])
+
+
+@query("""
+SELECT event_id, CASE event_type WHEN 'error' THEN 'FETCH_ERROR' WHEN 'login' THEN 'PARSE_ERROR' WHEN 'purchase' THEN 'SYNC_ERROR' ELSE 'SCRAPER_ERROR' END AS category,
+  CASE WHEN event_id % 10 = 0 THEN false ELSE event_type IN ('error', 'purchase') END AS retryable FROM events""")
+def error_classes(spark, sf_dir):
+    stage = F.when(F.col("event_type") == "error", "fetch").when(F.col("event_type") == "login", "parse").when(F.col("event_type") == "purchase", "sync").otherwise("other")
+    found = runs.error_class(stage, F.when(F.col("event_id") % 10 == 0, False))
+    return table(spark, sf_dir, "events").select("event_id", found.alias("e")).select("event_id", "e.category", "e.retryable")
+
+
+@query("""
+WITH k AS (SELECT p_partkey, list_filter(list_transform(string_split(replace(p_type, ' ', ', ,') || ',' || lower(p_type), ','), lambda x: trim(x)), lambda x: x <> '') AS a FROM part),
+l AS (SELECT p_partkey, a, list_transform(a, lambda y: lower(y)) AS b FROM k)
+SELECT p_partkey, array_to_string(list_filter(a, lambda x, n: list_position(b, b[n]) = n), '|') AS keywords FROM l""")
+def keyword_lists(spark, sf_dir):
+    given = F.concat(F.replace("p_type", F.lit(" "), F.lit(", ,")), F.lit(","), F.lower("p_type"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(runs.keyword_list(given), "|").alias("keywords"))
+
+
+@query("""
+WITH g AS (SELECT event_id, ts - to_hours(7) AS naive, ts AS aware FROM events) SELECT event_id, naive::VARCHAR AS naive, aware::VARCHAR AS aware FROM g""")
+def since_literals(spark, sf_dir):
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    read = table(spark, sf_dir, "events").select("event_id", runs.since(iso, "Asia/Jakarta").alias("naive"), runs.since(F.concat(iso, F.lit("Z")), "Asia/Jakarta").alias("aware"))
+    return read.select("event_id", F.col("naive").cast("string").alias("naive"), F.col("aware").cast("string").alias("aware"))
+
+
+@query("""
+WITH a AS (SELECT l_orderkey, list(p_brand ORDER BY l_linenumber, l_partkey, l_suppkey, p_brand) AS every, list(DISTINCT p_brand) FILTER (l_returnflag = 'R') AS needed FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey)
+SELECT l_orderkey, array_to_string(list_filter(every, lambda x: NOT list_contains(coalesce(needed, []), x)), '|') AS optional FROM a""")
+def optional_skills(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "p_brand")
+    lists = rows.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["p_brand"]).alias("every"), F.collect_set(F.when(F.col("l_returnflag") == "R", F.col("p_brand"))).alias("some"))
+    return lists.select("l_orderkey", F.array_join(runs.ordered_difference(F.col("every"), F.col("some")), "|").alias("optional"))
+
+
+@query("""
+SELECT n_name AS source, r_name = 'ASIA' AS selected, CASE r_name WHEN 'ASIA' THEN NULL WHEN 'EUROPE' THEN 'disabled' WHEN 'AMERICA' THEN 'not_requested' ELSE 'unknown_source' END AS reason
+FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def source_selection(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey")).withColumn("source", F.col("n_name"))
+    config = nation.where("r_name in ('ASIA', 'EUROPE', 'AMERICA')").select("source", (F.col("r_name") != "EUROPE").alias("enabled"), (F.col("r_name") != "AMERICA").alias("requested"))
+    return runs.select_sources(nation.select("source"), config)
+
+
 for _name, (_query, _sql) in dataset.queries(table).items():
     QUERIES[_name] = _query
     if _sql:

@@ -27,7 +27,7 @@ ENVELOPES = {
     "source_b": Envelope("$.data.searchJobsV3.jobsInPage", needs_flag="$.data.searchJobsV3.hasMore", rejects="$.errors"),
     "source_c": Envelope("$.data.jobSearchV6.data"),
     "source_d": Envelope("$.pageProps.jobs", numeric_id=True),
-    "source_e": Envelope("$.data.vacanciesV4.list", required=("slug", "positionName")),
+    "source_e": Envelope("$.data.vacanciesV4.list", required=("slug", "positionName", "company.name")),
 }
 
 

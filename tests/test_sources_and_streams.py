@@ -23,9 +23,9 @@ def test_pages_or_rejects(spark):
     assert [r.external_id for r in captures.parse_pages(d, "source_d")[0].collect()] == ["7", "8"]
     b = spark.createDataFrame([(1, '{"data":{"searchJobsV3":{"jobsInPage":[{"id":"1"}]}}}'), (2, '{"errors":[1],"data":{"searchJobsV3":{"jobsInPage":[],"hasMore":true}}}')], "page_id long, payload string")
     assert {r.reason for r in captures.parse_pages(b, "source_b")[1].collect()} == {"missing_flag", "source_errors"}
-    e = spark.createDataFrame([(1, '{"data":{"vacanciesV4":{"list":[{"id":"1","slug":"s","positionName":"p"},{"id":"2","slug":""}]}}}')], "page_id long, payload string")
+    e = spark.createDataFrame([(1, '{"data":{"vacanciesV4":{"list":[{"id":"1","slug":"s","positionName":"p","company":{"name":"c"}},{"id":"2","slug":""},{"id":"3","slug":"s","positionName":"p"}]}}}')], "page_id long, payload string")
     rows, rejects = captures.parse_pages(e, "source_e")
-    assert rows.count() == 1 and [r.reason for r in rejects.collect()] == ["missing_field"]
+    assert rows.count() == 1 and [r.reason for r in rejects.collect()] == ["missing_field"] * 2
 
 
 def test_balanced_objects(spark):

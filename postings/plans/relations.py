@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.functions import requirements, skills, wording
+from postings.operators import checks
 
 
 def skill_rows(children: DataFrame, entries: DataFrame, listings: DataFrame) -> DataFrame:
@@ -125,6 +126,42 @@ def queries(table: Callable) -> dict[str, tuple[Callable, str | None]]:
         few = F.filter("flags", lambda f: f == "R")
         return row.select("o_orderkey", F.array_join(wording.missing_context(F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 2 == 0, " ").otherwise("x"), F.col("flags"), few), ",").alias("missing"))
 
+    def strict_run_checks(spark, sf_dir):
+        t = lambda n: table(spark, sf_dir, n)
+        events = t("events").where(F.col("user_id").isNotNull()).withColumn("run", F.col("user_id"))
+        stage = F.when(F.col("event_type") == "click", "scrape").when(F.col("event_type") == "view", "normalize").when(F.col("event_type") == "purchase", "enrich").when(F.col("event_type") == "login", "sync").otherwise("notify")
+        stages = events.groupBy("run", stage.alias("stage")).agg(F.count(F.lit(1)).alias("n")).select(
+            "run", "stage", F.when(F.col("n") % 3 == 0, "failed").otherwise("completed").alias("status"), F.when(F.col("n") % 2 == 0, "e").alias("error"), (F.col("n") % 4).alias("skipped"), F.when(F.col("n") % 5 == 0, "r").alias("reason")
+        )
+        raw = t("orders").select(F.col("o_custkey").alias("run"), F.col("o_orderkey").alias("id"), "o_orderstatus")
+        decisions = raw.where("id % 11 <> 0").select("run", "id", (F.col("o_orderstatus") != "F").alias("eligible"))
+        quarantine = raw.where("id % 13 = 0").select("run", (F.col("id") % 2 == 0).alias("safe"))
+        logs = events.where("event_id % 3 = 0").select("run", (F.col("event_type") != "error").alias("ok"))
+        sent = events.select("run", (F.col("event_type") == "purchase").alias("ok"))
+        return checks.strict_invariants(stages, raw, raw.where("id % 7 <> 0"), decisions, quarantine, logs, sent, sent.where("false"))
+
+    def log_signals(spark, sf_dir):
+        status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", " succeeded").otherwise("pending")
+        return checks.log_signals(table(spark, sf_dir, "events").withColumn("status", status), "user_id", ["ts", "event_id"], ["event_type", "event_id"])
+
+    def best_turns(spark, sf_dir):
+        return checks.best_text(table(spark, sf_dir, "conversations"), ["conv_id"], "text", ["turn", "role"], F.col("text").rlike("[0-9]")).select("conv_id", "text")
+
+    def enriched_ids(spark, sf_dir):
+        t = lambda n: table(spark, sf_dir, n)
+        parts = [t("orders").select(F.col("o_custkey").alias("id")), t("events").select(F.col("user_id").alias("id")), t("customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))]
+        return checks.distinct_ids(parts, "id")
+
+    def composed_texts(spark, sf_dir):
+        named = F.concat(F.lit("MAIN DUTIES\n"), F.col("p_name"), F.lit("\n\nMINIMAL S1\n"), F.initcap("p_type"))
+        row = table(spark, sf_dir, "part").withColumn("named", named)
+        return row.select("p_partkey", checks.combined(F.col("p_name"), F.substring_index("p_name", " ", 1)).alias("held"), checks.combined(F.col("p_brand"), F.col("p_type")).alias("joined"), checks.without_headings(F.col("named"), F.upper("p_name")).alias("lines"))
+
+    def notification_candidates(spark, sf_dir):
+        t = lambda n: table(spark, sf_dir, n)
+        sent = t("events").where("event_type = 'purchase'").select(F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd").alias("run"), F.lit("events").alias("source"), F.col("user_id").alias("external_id"))
+        return checks.notification_candidates(sent, t("customer").select(F.lit("events").alias("source"), F.col("c_custkey").alias("external_id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("company_name")))
+
     roles = "CASE " + " ".join(f"WHEN regexp_matches(j, '{p}') THEN '{s}'" for p, s in skills.ROLE_SKILLS.items()) + f" ELSE '{skills.ANY_SKILL}' END"
     valid = (
         f"(lower(trim(s)) NOT IN ('-', '--', 'n/a', 'na', 'none', 'null', 'unknown', 'tidak tersedia', 'not available') AND NOT regexp_matches(s, '{skills.SKILL_NUMBER}')"
@@ -176,4 +213,31 @@ WITH t AS (SELECT CASE WHEN doc_id % 7 = 0 THEN 'JobStreet' ELSE upper(source[1]
 WITH k AS (SELECT l_orderkey AS k, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY ALL)
 SELECT o_orderkey, concat_ws(',', CASE WHEN trim(coalesce(o_orderpriority, '')) = '' THEN 'title' END, CASE WHEN o_orderkey % 2 = 0 THEN 'description' END, CASE WHEN k IS NULL THEN 'requirements' END,
   CASE WHEN coalesce(r, 0) = 0 THEN 'skills' END) AS missing FROM orders LEFT JOIN k ON k = o_orderkey"""),
+        "strict_run_checks": (strict_run_checks, """
+WITH g AS (SELECT user_id AS run, CASE event_type WHEN 'click' THEN 'scrape' WHEN 'view' THEN 'normalize' WHEN 'purchase' THEN 'enrich' WHEN 'login' THEN 'sync' ELSE 'notify' END AS stage, count(*) AS n
+  FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
+s AS (SELECT run, count(DISTINCT stage) AS present, sum(n % 4) FILTER (stage = 'normalize') AS skipped, count(*) FILTER (stage = 'enrich' AND n % 3 = 0) AS eb, count(*) FILTER (stage = 'sync' AND n % 3 <> 0 AND n % 5 <> 0) AS ss,
+  count(*) FILTER (stage = 'notify' AND n % 3 <> 0 AND n % 5 <> 0) AS ns, count(*) FILTER (n % 3 = 0 AND n % 2 <> 0) AS ux FROM g GROUP BY run),
+o AS (SELECT o_custkey AS run, count(*) AS raw, count(*) FILTER (o_orderkey % 7 <> 0) AS normal, count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderstatus = 'F') AS declined, count(*) FILTER (o_orderkey % 11 = 0) AS undecided,
+  count(*) FILTER (o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderstatus = 'F') AS against, count(*) FILTER (o_orderkey % 13 = 0) AS held, count(*) FILTER (o_orderkey % 13 = 0 AND o_orderkey % 2 <> 0) AS unsafe FROM orders GROUP BY ALL),
+l AS (SELECT user_id AS run, count(*) FILTER (event_id % 3 = 0 AND event_type = 'error') AS fl, count(*) FILTER (event_type = 'purchase') AS sent FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
+r AS (SELECT run, coalesce(present, 0) AS present, coalesce(skipped, 0) AS skipped, coalesce(eb, 0) AS eb, coalesce(ss, 0) AS ss, coalesce(ns, 0) AS ns, coalesce(ux, 0) AS ux, coalesce(raw, 0) AS raw, coalesce(normal, 0) AS normal,
+  coalesce(declined, 0) AS declined, coalesce(undecided, 0) AS undecided, coalesce(against, 0) AS against, coalesce(held, 0) AS held, coalesce(unsafe, 0) AS unsafe, coalesce(fl, 0) AS fl, coalesce(sent, 0) AS sent
+  FROM s FULL JOIN o USING (run) FULL JOIN l USING (run)),
+v AS (SELECT run, unnest(['stageRowsPresent', 'normalizeCountInvariant', 'normalizeHasEligibilityDecision', 'normalizeRespectsEligibilityDecision', 'quarantineSafeErrorEvidence', 'enrichFailureHasAiEvidence',
+  'syncZeroSentHasReason', 'notifyZeroSentHasReason', 'failedStageHasErrorEvidence']) AS name,
+  unnest([5 - present, (NOT (raw = normal OR held > 0 OR skipped > 0 OR declined > 0))::INT, undecided, against, unsafe, (eb > 0 AND fl = 0)::INT, (ss > 0 AND sent = 0)::INT, (ns > 0)::INT, ux])::BIGINT AS violations FROM r)
+SELECT run, name, violations = 0 AS passed, violations FROM v"""),
+        "log_signals": (log_signals, """
+SELECT user_id, count(*) AS total, count(*) FILTER (event_type = 'purchase') AS succeeded, count(*) FILTER (event_type = 'error') AS failed, arg_max(event_type, (ts, event_id)) AS last_event_type,
+  arg_max(event_id, (ts, event_id)) AS last_event_id FROM events GROUP BY user_id"""),
+        "best_turns": (best_turns, "SELECT conv_id, arg_min(text, (regexp_matches(text, '[0-9]')::INT, -length(text), turn, role)) AS text FROM conversations WHERE length(text) > 0 GROUP BY conv_id"),
+        "enriched_ids": (enriched_ids, "SELECT o_custkey AS id FROM orders UNION SELECT user_id FROM events WHERE user_id IS NOT NULL UNION SELECT c_custkey FROM customer WHERE c_acctbal < 0"),
+        "composed_texts": (composed_texts, """
+WITH t AS (SELECT *, array_to_string(list_transform(string_split(lower(p_type), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS i FROM part)
+SELECT p_partkey, p_name AS held, CASE WHEN contains(p_type, p_brand) THEN p_type WHEN contains(p_brand, p_type) THEN p_brand ELSE p_brand || chr(10) || chr(10) || p_type END AS joined,
+  'MINIMAL S1' || CASE WHEN upper(i) = i THEN '' ELSE chr(10) || i END AS lines FROM t"""),
+        "notification_candidates": (notification_candidates, """
+SELECT strftime(ts, '%Y-%m-%d') || ':events:' || user_id AS event_id, e.event_id AS sync_event_id, 'events' AS source, user_id AS external_id, c_name AS title, c_mktsegment AS company_name
+FROM events e JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'"""),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postings.functions import requirements, skills, wording
 from postings.operators import checks
+from postings.sources import embedded
 
 
 def skill_rows(children: DataFrame, entries: DataFrame, listings: DataFrame) -> DataFrame:
@@ -162,6 +163,12 @@ def queries(table: Callable) -> dict[str, tuple[Callable, str | None]]:
         sent = t("events").where("event_type = 'purchase'").select(F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd").alias("run"), F.lit("events").alias("source"), F.col("user_id").alias("external_id"))
         return checks.notification_candidates(sent, t("customer").select(F.lit("events").alias("source"), F.col("c_custkey").alias("external_id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("company_name")))
 
+    def embedded_values(spark, sf_dir):
+        row = F.to_json(F.struct(F.col("o_orderkey").alias("buildId"), F.col("o_orderstatus").alias("s")))
+        page = F.concat(F.lit("<html>" + embedded.PAGE_DATA), row, F.when(F.col("o_orderkey") % 5 != 0, "</script><p>x</p>").otherwise(""))
+        found = table(spark, sf_dir, "orders").select("o_orderkey", embedded.script_json(page).alias("p"), embedded.first_json(F.concat(F.lit("[no] RESPONSE is {so} "), row, F.lit(" }"))).alias("first"))
+        return found.select("o_orderkey", F.get_json_object("p.json", "$.buildId").alias("build_id"), "p.reason", "first")
+
     roles = "CASE " + " ".join(f"WHEN regexp_matches(j, '{p}') THEN '{s}'" for p, s in skills.ROLE_SKILLS.items()) + f" ELSE '{skills.ANY_SKILL}' END"
     valid = (
         f"(lower(trim(s)) NOT IN ('-', '--', 'n/a', 'na', 'none', 'null', 'unknown', 'tidak tersedia', 'not available') AND NOT regexp_matches(s, '{skills.SKILL_NUMBER}')"
@@ -240,4 +247,7 @@ SELECT p_partkey, p_name AS held, CASE WHEN contains(p_type, p_brand) THEN p_typ
         "notification_candidates": (notification_candidates, """
 SELECT strftime(ts, '%Y-%m-%d') || ':events:' || user_id AS event_id, e.event_id AS sync_event_id, 'events' AS source, user_id AS external_id, c_name AS title, c_mktsegment AS company_name
 FROM events e JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'"""),
+        "embedded_values": (embedded_values, """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey::VARCHAR END AS build_id, CASE WHEN o_orderkey % 5 = 0 THEN 'unterminated' END AS reason,
+  '{"buildId":' || o_orderkey || ',"s":"' || o_orderstatus || '"}' AS first FROM orders"""),
     }

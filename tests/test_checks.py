@@ -28,3 +28,12 @@ def test_texts(spark):
     assert tuple(r) == ("a b", "b", "a\n\nb", "memasak\nMINIMAL S1", None)
     texts = spark.createDataFrame([("k", "long bonus", 1), ("k", "mid", 2), ("k", "abc", 1), ("j", "bonus", 1), ("i", None, 1)], "k string, t string, n int")
     assert dict(checks.best_text(texts, ["k"], "t", ["n"], F.col("t").contains("bonus")).collect()) == {"k": "abc", "j": "bonus"}
+
+
+def test_embedded(spark):
+    from postings.sources import embedded
+
+    assert embedded.first_value('x [bad RESPONSE {"a": [1, "}"]} tail') == '{"a": [1, "}"]}' and embedded.first_value("none {") is None and embedded.first_value(None) is None
+    pages = spark.createDataFrame([(1, f"{embedded.PAGE_DATA}{{oops</script>"), (2, None), (3, f'{embedded.PAGE_DATA} [1] </script></script>'), (4, "")], "id int, h string")
+    rows = {r.id: (r.p.json, r.p.reason, r.f) for r in pages.select("id", embedded.script_json(F.col("h")).alias("p"), embedded.first_json(F.col("h")).alias("f")).collect()}
+    assert rows == {1: (None, "not_json", None), 2: (None, "missing", None), 3: ("[1]", None, "[1]"), 4: (None, "missing", None)}

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from postings.llm.chat import rotate
 from postings.llm.decontaminate import flag_contaminated
+from postings.llm.language import fit as fit_language
+from postings.llm.language import languages
 from postings.llm.line_dedup import dedup_lines
 from postings.llm.mixing import mix
 from postings.llm.near_dedup import near_duplicates
 from postings.llm.passages import drop_repeats
 from postings.llm.quality_classifier import fit, quality_scores
 from postings.llm.quality_rules import quality_rules
+from postings.llm.search import search
 from postings.llm.token_files import token_files
 from postings.llm.toxicity import fit as fit_toxicity
 from postings.llm.toxicity import toxicity_scores
@@ -157,6 +160,37 @@ SELECT * EXCLUDE (copies), md5('mix-1:order:' || coalesce(doc_id::VARCHAR, 'null
 FROM (SELECT *, unnest(range(1, copies + 1))::INT AS mix_copy FROM d WHERE copies > 0)
 """
 
+
+
+def op11_blockmax_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = rf"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), d AS (SELECT doc_id, ts, len(ts) AS n FROM t WHERE len(ts) > 0
+), total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), p AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, total GROUP BY term, docs
+), s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), total GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return languages(docs, fit_language(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_files": op2_token_files,
@@ -168,6 +202,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_poisson_mixing": op10_poisson_mixing,
+    "op11_blockmax_search": op11_blockmax_search,
+    "op13_language_id": op13_language_id,
 }
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1_SQL,
@@ -175,4 +211,5 @@ ORACLES: dict[str, str] = {
     "op5_chat_perspectives": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
     "op10_poisson_mixing": OP10_SQL,
+    "op11_blockmax_search": OP11_SQL,
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postings.operators import ranks
+
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last by ``order`` (a total order: end it with an id).
@@ -29,12 +31,14 @@ def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[
 
     One aggregation over both sides: incoming rows win over stored ones, later over earlier.
     """
-    both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
+    new, row, *kept = ranks.unused(stored, "new", "row", *(f"old_{c}" for c in keep or []))
+    both = stored.withColumn(new, F.lit(0)).unionByName(incoming.withColumn(new, F.lit(1)))
     rest = [c for c in stored.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct("_new", *order)).alias("r")
-    old = [F.min_by(F.when(F.col("_new") == 0, F.col(c)), F.col("_new")).alias(f"_old_{c}") for c in keep or []]
-    out = both.groupBy(*keys).agg(best, *old)
-    columns = [F.coalesce(f"_old_{c}", F.col("r")[c]).alias(c) if c in (keep or []) else (F.col(c) if c in keys else F.col("r")[c].alias(c)) for c in stored.columns]
+    best = F.max_by(F.struct(*rest), F.struct(new, *order)).alias(row)
+    old = dict(zip(keep or [], kept, strict=True))
+    first = [F.min_by(F.when(F.col(new) == 0, F.col(c)), F.col(new)).alias(n) for c, n in old.items()]
+    out = both.groupBy(*keys).agg(best, *first)
+    columns = [F.coalesce(old[c], F.col(row)[c]).alias(c) if c in old else (F.col(c) if c in keys else F.col(row)[c].alias(c)) for c in stored.columns]
     return out.select(*columns)
 
 
@@ -47,25 +51,27 @@ def dedup_decisions(df: DataFrame, key: str, order: list[str], slug: str, title:
     """``df`` with ``action`` and ``reason``: the first of a key is inserted, later ones update it.
 
     A later row is compared with the one before it: a changed slug is a drift, a changed slug,
-    title and company together a collision. A null key is quarantined. The window is over
-    one key's rows; the null key, which may hold very many, is left out of it.
+    title and company together a collision. A null key is quarantined. No task holds
+    a key's rows: its parts are compared with the last row of the part before.
     """
     known, missing = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
-    w = Window.partitionBy(key).orderBy(*order)
-    last = {c: F.lag(c).over(w) for c in (slug, title, company)}
+    *names, later = ranks.unused(df, "last_slug", "last_title", "last_company", "later")
+    old = dict(zip((slug, title, company), names, strict=True))
+    known = ranks.with_previous(known, [key], order, old, later)
+    last = {c: F.col(n) for c, n in old.items()}
     slug_changed = (last[slug] != F.col(slug)) & (last[slug] != "") & (F.col(slug) != "")
     text_changed = ~last[title].eqNullSafe(F.col(title)) & ~last[company].eqNullSafe(F.col(company))
-    first = F.row_number().over(w) == 1
+    first = ~F.col(later)
     fresh = F.when(fallback, "fallback_fingerprint").otherwise("new_identity") if fallback is not None else F.lit("new_identity")
     reason = F.when(first, fresh).when(slug_changed & text_changed, "identity_collision").when(slug_changed, "slug_drift").otherwise("duplicate_identity")
-    decided = known.withColumns({"action": F.when(first, "insert").otherwise("update"), "reason": reason})
+    decided = known.withColumns({"action": F.when(first, "insert").otherwise("update"), "reason": reason}).drop(later, *names)
     return decided.unionByName(missing.withColumns({"action": F.lit("quarantine"), "reason": F.lit("missing_identity")}))
 
 
 def chunks(df: DataFrame, scope: list[str], order: list[str], size: int) -> DataFrame:
-    """``df`` with the number of its chunk of ``size`` rows inside the scope."""
-    place = F.row_number().over(Window.partitionBy(*scope).orderBy(*order))
-    return df.withColumn("chunk", F.floor((place - 1) / size))
+    """``df`` with the number of its chunk of ``size`` rows inside the scope; no task holds a scope."""
+    place, = ranks.unused(df, "place")
+    return ranks.numbered(df, scope, order, place).withColumn("chunk", F.floor((F.col(place) - 1) / size)).drop(place)
 
 
 def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:

@@ -44,8 +44,3 @@ def gates(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     row = limits.join(metrics, "metric", "left")
     inside = F.coalesce((F.col("value") >= F.coalesce("lower", F.lit(float("-inf")))) & (F.col("value") <= F.coalesce("upper", F.lit(float("inf")))), F.lit(False))
     return row.select("metric", "value", "lower", "upper", inside.alias("passed"))
-
-
-def nearest_rank(df: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Nearest-rank percentiles of each group."""
-    return df.groupBy(*by).agg(*(F.expr(f"percentile_disc({p}) within group (order by {value})").alias(n) for n, p in points.items()))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postings.functions import clean_html, html, identity, json, redact, requirements, roles, salary, text
-from postings.operators import delivery, keyed, ledgers, quality, reports, runs, validate
+from postings.operators import delivery, keyed, ledgers, quality, ranks, reports, runs, validate
 from postings.plans import dataset, relations
 from postings.sources import captures, mappers
 
@@ -210,7 +210,7 @@ def semantic_rollup(spark, sf_dir):
 
 @query("SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY event_type")
 def nearest_rank_percentiles(spark, sf_dir):
-    return quality.nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
+    return ranks.nearest_rank(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
 
 
 @query("""

@@ -262,9 +262,13 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    found = known.select("lang").distinct().count()
-    most = max(1, min(train_rows, rows_in_all // max(1, found)))
-    draw = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row a language
+    most = max(1, min(train_rows, rows_in_all // max(1, len(counts))))
+    # ids of low hashes only, about three times the rows drawn, so that no task ranks a language's rows
+    low = [(r.lang, min(2**63 - 1, int(2**64 * min(1.0, (3 * most + 50) / r.n)) - 2**63)) for r in counts]
+    limits = F.broadcast(docs.sparkSession.createDataFrame(low, "lang string, low long"))
+    draw = known.join(limits, "lang").where(F.xxhash64("doc_id") <= F.col("low")).select("doc_id", "lang").distinct()
+    draw = draw.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")))
     draw = draw.where(F.col("place") <= most).drop("place")  # at most rows_in_all rows (one a language at least), so they are broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

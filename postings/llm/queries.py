@@ -15,6 +15,7 @@ from postings.llm.line_dedup import dedup_lines
 from postings.llm.mixing import mix
 from postings.llm.near_dedup import near_duplicates
 from postings.llm.passages import drop_repeats
+from postings.llm.prefix_trie import prefix_trie
 from postings.llm.quality_classifier import fit, quality_scores
 from postings.llm.quality_rules import quality_rules
 from postings.llm.search import search
@@ -186,6 +187,37 @@ QUALIFY rank <= 50
 """
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS tok FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, list(tok ORDER BY pos) AS own,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, CASE WHEN r % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295::BIGINT) % 4 AS h
+  FROM t GROUP BY c
+), r AS (
+  SELECT o.c, list_concat(coalesce(b.own[1:o.h], []), o.own[o.h + 1:]) AS seq FROM o LEFT JOIN o b ON b.c = o.c - o.c % 20
+), p AS (
+  SELECT c, d, md5(seq[1:d]::JSON::VARCHAR) AS k, len(seq) AS n, CASE WHEN d = 0 THEN '' ELSE seq[d].text END AS last FROM r, range(0, 100000) AS g(d) WHERE d <= len(seq)
+), node AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, any_value(last) AS last, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends FROM p GROUP BY k, d
+), spot AS (SELECT p.c, p.d, node.conv_id FROM p JOIN node USING (k, d)
+), up AS (SELECT node.*, spot.conv_id AS parent_conv_id FROM node LEFT JOIN spot ON spot.c = node.conv_id AND spot.d = node.d - 1
+), kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM up WHERE d > 0 GROUP BY ALL
+), own AS (
+  SELECT up.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * len(regexp_extract_all(last, '[^\x20\x09-\x0D]+')) AS saved FROM up LEFT JOIN kids USING (conv_id, d)
+), total AS (
+  SELECT spot.conv_id, spot.d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM own JOIN spot ON spot.c = own.conv_id AND spot.d <= own.d GROUP BY ALL
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256 FROM own JOIN total USING (conv_id, d)
+"""
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return languages(docs, fit_language(docs))
@@ -203,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_poisson_mixing": op10_poisson_mixing,
     "op11_blockmax_search": op11_blockmax_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_language_id": op13_language_id,
 }
 ORACLES: dict[str, str] = {
@@ -212,4 +245,5 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op10_poisson_mixing": OP10_SQL,
     "op11_blockmax_search": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }

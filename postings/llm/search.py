@@ -109,7 +109,7 @@ def shard_row(doc_ids: list, sizes: list[int], names: list[bytes], term: np.ndar
     blocks = -(-df // BLOCK)
     firsts = np.concatenate([[0], np.cumsum(blocks)])
     starts = np.repeat(first, blocks) + BLOCK * (np.arange(firsts[-1]) - np.repeat(firsts[:-1], blocks))
-    ends = np.append(starts[1:], len(term))
+    ends = np.append(starts, len(term))[1:]
     lasts = doc[ends - 1] if len(term) else np.empty(0, np.int64)
     opening = np.isin(np.arange(len(starts)), firsts)
     parts = [pack(doc[a:b], tf[a:b], -1 if new else lasts[i - 1]) for i, (a, b, new) in enumerate(zip(starts, ends, opening, strict=True))]

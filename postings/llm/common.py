@@ -1,59 +1,20 @@
-"""Helpers shared by the operators: shared-folder tables, word hashing, components."""
+"""Helpers shared by the operators: word hashing, components; tables in the shared folder are the library's."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from postings.operators.shared import fresh_path, materialize, shared_dir  # noqa: F401 (operators take them from here)
+
 #: Java and RE2 class for what separates words: space, tab, \n, \v, \f, \r (bytes.split() splits on the same six).
 SPACE_CLASS = r"[ \t\n\x0B\f\r]"
 WORD_CLASS = r"[^ \t\n\x0B\f\r]"
 
-_own_dir: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one of a local session.
-
-    A session on a cluster must name the folder; a machine-local one would lose rows there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if found:
-        # a path without a scheme means Spark's default file system, for Python writers too
-        path = context._jvm.org.apache.hadoop.fs.Path(found)
-        full = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
-        return full.replace("file:/", "file:///", 1).rstrip("/") if re.match("file:/[^/]", full) else full.rstrip("/")
-    if not context.master.startswith("local[") and context.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _own_dir:
-        _own_dir[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='spark-postings-')}"
-    return _own_dir[context.applicationId]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    It cuts lineage like a checkpoint, but stays columnar, compressed and prunable, and it
-    survives the loss of executors. The folder is named by the application id, so that a
-    finished application's tables can be removed together.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (in place where it can be)."""

@@ -116,3 +116,13 @@ def test_cascade_order_is_by_rejection_per_cost(spark):
     rows = spark.range(500).selectExpr("id as doc_id", "repeat('abc def ', 200) as text", "id % 10 as n_words").cache()
     cheap, dear, idle = Rule("cheap", "n_words < 4"), Rule("dear", "length(regexp_replace(text, '[^\\\\p{Lu}]', '')) >= 0 and n_words < 5"), Rule("idle", "n_words > 20")
     assert [r.name for r in cascade_order(rows, (idle, dear, cheap))] == ["cheap", "dear", "idle"]
+
+
+def test_ten_calls_give_one_order(spark):
+    from postings.llm.quality_rules import RULES, cascade_order, with_base
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sample = with_base(docs, docs["text"], docs["doc_id"]).cache()
+    orders = {tuple(r.name for r in cascade_order(sample, RULES)) for _ in range(10)}
+    sample.unpersist()
+    assert len(orders) == 1

@@ -1,43 +1,15 @@
-"""Incremental capture, repeated observations, delivery state and daily counts as streams."""
+"""Files as a stream, repeated observations and daily counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from postings.operators import keyed, ledgers
 
 
 def files(spark: SparkSession, path: str, schema: str, per_trigger: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def upsert_stream(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], order: list[str]) -> StreamingQuery:
-    """Fold new rows into a latest-write-wins table, a version a batch: ``table_path/v=<batch>``.
-
-    A batch that runs again overwrites its own version from the one before it, so replays
-    change nothing; readers take the highest version (``current``). A late duplicate loses
-    by ``order``.
-    """
-    spark = stream.sparkSession
-
-    def fold(batch: DataFrame, number: int) -> None:
-        old = keyed.latest_by(batch, keys, order).limit(0) if number == 0 else spark.read.parquet(f"{table_path}/v={number - 1}")
-        both = old.unionByName(batch.select(*old.columns))
-        keyed.latest_by(both, keys, order).write.mode("overwrite").parquet(f"{table_path}/v={number}")
-
-    return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def current(spark: SparkSession, table_path: str) -> DataFrame:
-    """The table's highest version."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    number = max(int(s.getPath().getName().split("=")[1]) for s in listed)
-    return spark.read.parquet(f"{table_path}/v={number}")
-
-
 def first_observations(stream: DataFrame, keys: list[str], at: str, delay: str = "3 days") -> DataFrame:
     """Each key once within the delay; state older than the watermark goes."""
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
@@ -46,16 +18,3 @@ def first_observations(stream: DataFrame, keys: list[str], at: str, delay: str =
 def daily_counts(stream: DataFrame, at: str, by: str, delay: str = "1 day") -> DataFrame:
     """Rows a day and group, final once the watermark has passed the day."""
     return stream.withWatermark(at, delay).groupBy(F.window(at, "1 day").alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("day"), by, "n")
-
-
-def delivery_stream(attempts: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Append attempts to a log, a folder a batch (replays overwrite it); the state is the batch fold over the log."""
-
-    def append(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log_path}/b={number}")
-
-    return attempts.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def delivery_state(spark: SparkSession, log_path: str, keys: list[str]) -> DataFrame:
-    return ledgers.delivery_state(spark.read.parquet(log_path), keys)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from postings.operators import keyed
 from postings.sources import captures, csv_sink
-from postings.streaming import incremental
+from postings.streaming import incremental, upserts
 
 
 def test_pages_or_rejects(spark):
@@ -54,8 +54,8 @@ def test_streams_equal_the_batch(spark, tmp_path):
         events.where(f"id % 4 = {n} or (id < 10 and {n} = 3)").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = incremental.files(spark, str(tmp_path / "in"), "k long, id long, s long, at timestamp", 1)
     for _ in range(2):  # a second run finds nothing new
-        incremental.upsert_stream(stream, str(tmp_path / "t"), str(tmp_path / "c"), ["k"], ["s", "id"]).awaitTermination()
-        got = sorted(map(tuple, incremental.current(spark, str(tmp_path / "t")).select("k", "id").collect()))
+        upserts.upsert_stream(stream, str(tmp_path / "t"), str(tmp_path / "c"), ["k"], ["s", "id"]).awaitTermination()
+        got = sorted(map(tuple, upserts.current(spark, str(tmp_path / "t")).select("k", "id").collect()))
         assert got == sorted(map(tuple, keyed.latest_by(events, ["k"], ["s", "id"]).select("k", "id").collect()))
     once = incremental.first_observations(stream, ["id"], "at", "30 days")
     q = once.writeStream.format("memory").queryName("once").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c2")).start()

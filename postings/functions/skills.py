@@ -122,7 +122,8 @@ def items(c: Column) -> Column:
 
 def typed(values: Column) -> Column:
     """Structs (type, value) of requirements; of equal type and value the first spelling stays, RELATIONS_MOST at most."""
-    return F.slice(F.transform(values, lambda x: F.struct(requirements.requirement_class(x).alias("type"), x.alias("value"))), 1, RELATIONS_MOST)
+    both = F.transform(values, lambda x: F.struct(requirements.requirement_class(x).alias("type"), x.alias("value")))
+    return F.slice(first_by(both, lambda x: F.concat_ws(" ", x["type"], F.lower(F.trim(x["value"])))), 1, RELATIONS_MOST)
 
 
 def fallback_requirements(title: Column, wanted: Column, described: Column) -> Column:

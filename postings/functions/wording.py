@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postings.functions.text import clean
+from postings.functions import html
+from postings.functions.text import SPACE, clean, without_noise
 
 #: Words by which a sentence only tells that a text was rewritten.
 META = (
@@ -87,3 +88,39 @@ def missing_context(title: Column, description: Column, requirements: Column, sk
     none = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
     lacks = {"title": blank(title), "description": blank(description), "requirements": none(requirements), "skills": none(skills)}
     return F.array_compact(F.array(*(F.when(bad, name) for name, bad in lacks.items())))
+
+
+# fixed values: phrases and what they become, in the order in which they are applied ($1 is what the first brackets hold)
+REWRITES = (
+    (r"\bgelar sarjana\b", "bachelor's degree"), (r"\bsarjana\b", "bachelor's degree"), (r"\bdiploma\b", "diploma"), (r"\bminimum of\b", "minimum"), (r"\bminimal\b", "minimum"),
+    (r"\bpreferably\b", "preferred"), (r"\blebih disukai\b", "preferred"), (r"\bstrong interest\b", "strong interest"), (r"\bminat kuat\b", "strong interest"),
+    (r"\bstrong communication skills?\b", "strong communication skills"), (r"\blatar belakang di\b", "background in"), (r"\bbidang terkait\b", "related field"),
+    (r"\bfresh graduates?\b", "fresh graduates"), (r"\blulusan baru\b", "fresh graduates"), (r"\bcandidates?\b", "candidates"), (r"\bkandidat\b", "candidates"),
+    (r"\byears? of experience\b", "years of experience"), (r"\btahun pengalaman\b", "years of experience"), (r"\bexperience in\b", "experience in"), (r"\bpengalaman dalam\b", "experience in"),
+    (r"\bpengalaman\b", "experience"), (r"\bmenguasai\b", "proficient in"), (r"\bmahir\b", "proficient in"), (r"\bmampu\b", "able to"), (r"\bbertanggung jawab\b", "responsible for"),
+    (r"\bpendidikan\b", "education"), (r"\bmengembangkan\b", "developing"), (r"\bmengelola\b", "managing"), (r"\bmembangun\b", "building"), (r"\bmelakukan\b", "performing"),
+    (r"\bmembuat\b", "creating"), (r"\bmemelihara\b", "maintaining"), (r"\bberkoordinasi\b", "coordinating"), (r"\bmenjaga\b", "maintaining"), (r"\bmengoptimalkan\b", "optimizing"),
+    (r"\bmenyusun\b", "drafting"), (r"\bexperience\s*:\s*", "Experience: "), (r"\bkategori\s*:\s*", "Category: "), (r"\bcategory\s*:\s*", "Category: "), (r"\bkeahlian\s*:\s*", "Skills: "),
+    (r"\bskills?\s*:\s*", "Skills: "), (r"\bminimal\s+(\d+)\s+tahun\b", "minimum $1 years"), (r"\bminimum\s+(\d+)\s+years?\b", "minimum $1 years"), (r"\bhingga\s+(\d+)\s+tahun\b", "up to $1 years"),
+    (r"\bup to\s+(\d+)\s+years?\b", "up to $1 years"), (r"\b(\d+)\s*-\s*(\d+)\s+tahun\b", "$1-$2 years"), (r"\b(\d+)\s*-\s*(\d+)\s+years?\b", "$1-$2 years"), (r"\btahun\b", "years"), (r"\bdan\b", "and"),
+    (r"\bdengan\b", "with"), (r"\buntuk\b", "for"), (r"\byang\b", "that"),
+)
+
+
+def block(c: Column) -> Column:
+    """Text of a block: tags as text, decoration away, bullets and dashes between spaces as sentence ends; null if nothing is left."""
+    plain = F.when(c.rlike("<[^>]+>"), html.to_text(c)).otherwise(c)
+    bare = clean(F.translate(without_noise(plain), "▪◦", "  "))
+    return clean(F.replace(F.replace(bare, F.lit("•"), F.lit(". ")), F.lit(" - "), F.lit(". ")))
+
+
+def rewritten(c: Column) -> Column:
+    """Phrases of requirements in one wording: each rewrite on what the ones before it left, white space collapsed.
+
+    One search for any of the phrases comes first: a text that holds none isn't gone over again.
+    """
+    out = c
+    for pattern, to in REWRITES:
+        out = F.regexp_replace(out, f"(?i){pattern}", to)
+    found = c.rlike("(?i)" + "|".join(pattern for pattern, _ in REWRITES))
+    return F.trim(F.regexp_replace(F.when(found, out).otherwise(c), SPACE, " "))

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postings.operators.ranks import unused
+
 
 def metrics(df: DataFrame, scope: Column, values: dict[str, Column]) -> DataFrame:
     """(scope, metric, value) for each scope and for "all", from one pass."""
-    wide = df.withColumn("_scope", scope).rollup("_scope").agg(*(c.cast("double").alias(n) for n, c in values.items()), F.grouping("_scope").alias("_all"))
-    named = wide.select(F.when(F.col("_all") == 1, "all").otherwise(F.coalesce("_scope", F.lit("unknown"))).alias("scope"), *values)
+    part, every = unused(df, "part_of", "every")
+    wide = df.withColumn(part, scope).rollup(part).agg(*(c.cast("double").alias(n) for n, c in values.items()), F.grouping(part).alias(every))
+    named = wide.select(F.when(F.col(every) == 1, "all").otherwise(F.coalesce(part, F.lit("unknown"))).alias("scope"), *values)
     return named.unpivot(["scope"], list(values), "metric", "value")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postings.operators.ranks import unused
+
 from postings.functions.text import first_by
 
 #: Stage statuses from worst to best, and the retry limit of a work item.
@@ -146,5 +148,7 @@ def stage_durations(runs: DataFrame, by: str, stage: str, stages: list[str]) ->
 
 
 def handoff(ledger: DataFrame, sent: DataFrame, keys: list[str]) -> DataFrame:
-    """Ledger rows to add: sent events by their unique keys that the ledger doesn't have yet."""
-    return sent.select(*keys).distinct().join(ledger.select(*keys).distinct(), keys, "left_anti")
+    """Ledger rows to add: sent events by their unique keys that the ledger doesn't have yet. A null key equals a null key, so a second run adds nothing."""
+    held, = unused(sent.select(*keys), "held")
+    both = sent.select(*keys, F.lit(0).alias(held)).unionByName(ledger.select(*keys, F.lit(1).alias(held)))
+    return both.groupBy(*keys).agg(F.max(held).alias(held)).where(F.col(held) == 0).select(*keys)

@@ -8,12 +8,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings.operators import contract, model_outputs, nested
+from postings.functions import wording
+from postings.operators import contract, model_outputs, nested, quality
 from postings.operators.shared import fresh_path
-from postings.sources import warehouse
+from postings.plans import export
+from postings.sources import replay, warehouse
 from postings.streaming import delivery_states, incremental, upserts
 
 SINCE = datetime(1998, 1, 1)
+LEADS = ("Minimal 3 tahun pengalaman dalam penjualan", "Gelar Sarjana atau diploma; minimum of 2 years", "up to 5 year dan 2 - 3 tahun", "Skill :  mampu mengelola tim", "Pengalaman: kandidat yang mahir", "plain words")
 
 
 def increments(df: DataFrame, order: str, n: int) -> str:
@@ -140,6 +143,48 @@ def queries(table: Callable[[SparkSession, str, str], DataFrame]) -> dict[str, t
         parts, rows = jobs(spark, sf_dir)[1]
         return contract.orphan_relations(parts, "job", rows, "o_orderkey", "skill")
 
+    def said_again(spark, sf_dir):
+        """Turns as requirements: every third word of the rewrites' kind before the text, so that chains of them apply."""
+        lead = F.element_at(F.split(F.lit("|".join(LEADS)), "[|]"), (F.col("turn") % len(LEADS) + 1).cast("int"))
+        return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(lead, F.lit(" "), F.col("text")).alias("text"))
+
+    def rewritten_texts(spark, sf_dir):
+        return said_again(spark, sf_dir).select("conv_id", "turn", wording.rewritten(F.col("text")).alias("text"))
+
+    def block_texts(spark, sf_dir):
+        return said_again(spark, sf_dir).select("conv_id", "turn", wording.block(F.concat(F.lit("✨ first • "), F.col("text"), F.lit(" - last ▪"))).alias("text"))
+
+    def export_counts(spark, sf_dir):
+        done = export.export(export.frames(*(table(spark, sf_dir, t) for t in ("orders", "customer", "lineitem", "part", "events"))))
+        parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n", F.lit(done.counts[name]).cast("long").alias("observed")) for name, df in done.outputs.items()]
+        return quality.union_all(parts)
+
+    def exported_skills(spark, sf_dir):
+        return export.export(export.frames(*(table(spark, sf_dir, t) for t in ("orders", "customer", "lineitem", "part", "events")))).outputs["job_skills"]
+
+    def replayed_rows(spark, sf_dir):
+        payloads = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("source"), F.to_json(F.struct(F.col("s_suppkey").alias("id"))).alias("payload"))
+        rows = replay.replayed(payloads, "source", "payload", 5, F.lit("2024-01-31 00:00:00").cast("timestamp"))
+        return rows.withColumn("source_timestamp", F.col("source_timestamp").cast("string"))
+
+    def replay_stream(spark, sf_dir):
+        payloads = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("source"), F.to_json(F.struct(F.col("s_suppkey").alias("id"))).alias("payload"))
+        stream = replay.replay_stream(payloads, "source", "payload", 5, F.lit("2024-01-31 00:00:00").cast("timestamp"), -(-5 * payloads.count() // 3))
+        root = fresh_path(spark, "replay")
+        q = stream.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").start()
+        q.processAllAvailable()
+        q.stop()
+        rows = spark.read.parquet(f"{root}/rows")
+        return rows.withColumn("source_timestamp", F.col("source_timestamp").cast("string"))
+
+    fold = "coalesce(t, '')"
+    for pattern, to in wording.REWRITES:
+        fold = "regexp_replace({}, '{}', '{}', 'gi')".format(fold, pattern, to.replace("$", chr(92)).replace("'", "''"))
+    leads = "[" + ", ".join(f"'{x}'" for x in LEADS) + f"][turn % {len(LEADS)} + 1]"
+    again = f"WITH s AS (SELECT conv_id, turn, {leads} || ' ' || text AS t FROM conversations) "
+    one_space = r"trim(regexp_replace({}, '[\s\x{{0B}}\x{{85}}\p{{Z}}]+', ' ', 'g'))"
+    copies = """SELECT 's' || s_suppkey AS source, 's' || s_suppkey || '-fixture-' || i AS external_id, 'https://example.test/s' || s_suppkey || '/fixture-' || i AS source_url, '{"id":' || s_suppkey || '}' AS payload,
+  strftime(TIMESTAMP '2024-01-31' - to_minutes(i), '%Y-%m-%d %H:%M:%S') AS source_timestamp FROM supplier, range(1, 6) AS r(i)"""
     space = r"regexp_replace(trim(regexp_replace(text, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')), '^$', '')"
     said = f"""WITH t AS (SELECT conv_id, turn, role, {space} AS text FROM conversations),
 e AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'description' ELSE 'requirement' END AS family, CASE role WHEN 'user' THEN 4 ELSE 8 END AS depth, text FROM t UNION ALL SELECT conv_id, turn, 'skill', 6, role FROM t) """
@@ -166,6 +211,17 @@ bad AS (SELECT DISTINCT job FROM p WHERE type = 'magic'),
 v AS (SELECT j.*, skills, requirements, list_filter([CASE WHEN k % 37 = 0 THEN 'missing_title' END, CASE WHEN low > 300000 THEN 'salary_reversed' END, CASE WHEN bad.job IS NOT NULL THEN 'bad_requirement_type' END], lambda x: x IS NOT NULL) AS reasons
   FROM j LEFT JOIN sk ON sk.job = k LEFT JOIN rq ON rq.job = k LEFT JOIN bad ON bad.job = k) """
     return {
+        "rewritten_texts": (rewritten_texts, again + f"SELECT conv_id, turn, {one_space.format(fold)} AS text FROM s"),
+        "block_texts": (block_texts, again + f"SELECT conv_id, turn, {one_space.format("replace(replace(" + one_space.format("'first • ' || t || ' - last'") + ", '•', '. '), ' - ', '. ')")} AS text FROM s"),
+        "export_counts": (export_counts, """
+WITH o AS (SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey), k AS (SELECT count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey JOIN o ON o_orderkey = l_orderkey), j AS (SELECT count(*) AS n FROM o),
+u AS (SELECT unnest(['job_listings', 'job_user_signals', 'job_model_dataset']) AS output, n FROM j UNION ALL SELECT unnest(['job_requirements', 'job_skills']), n FROM k) SELECT output, n, n AS observed FROM u"""),
+        "exported_skills": (exported_skills, """
+SELECT l_orderkey::VARCHAR AS listing, l_partkey::VARCHAR AS skill, trim(p_name) AS name, regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '-', 'g') AS slug, trim(p_type) AS category,
+  coalesce(nullif(round_even(l_discount, 4), 0)::VARCHAR, '') AS confidence, upper(o_orderstatus) AS status, strftime(o_orderdate, '%Y-%m-%d') AS last_seen
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey"""),
+        "replayed_rows": (replayed_rows, copies),
+        "replay_stream": (replay_stream, copies),
         "warehouse_scan": (warehouse_scan, "SELECT o_custkey, count(*) AS n, max(o_orderkey) AS last_order FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01' AND o_custkey < 2000 AND o_custkey % 3 = 0 GROUP BY o_custkey"),
         "warehouse_page": (warehouse_page, """
 SELECT o_orderkey, c_name, n_name, o_totalprice FROM (SELECT * FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1998-01-01' ORDER BY o_orderdate DESC, o_orderkey LIMIT 100)

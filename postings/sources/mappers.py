@@ -80,12 +80,20 @@ def _first(paths: tuple[str, ...], kind: str = "string") -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast(kind)
 
 
+def _winner(paths: tuple[str, ...]) -> Column:
+    """The path that gives ``_first`` its value."""
+    found = F.lit(None).cast("string")
+    for p in reversed(paths):
+        found = F.when(clean(F.try_variant_get("v", p, "string")).isNotNull(), p).otherwise(found)
+    return found
+
+
 def map_source(rows: DataFrame, source: str) -> DataFrame:
     """Canonical records of rows(source, external_id, payload, scraped_at): typed columns, null where the source says nothing.
 
     No shuffle; the payload is parsed once, as a variant. Projections are layered: what later
     columns use several times is a column first, so nothing is computed twice.
-    ``provenance`` tells for each field which path the source has for it.
+    ``provenance`` tells for each field which path gave its value; fields without one aren't in it.
     """
     p = SOURCES[source]
     amount = lambda paths: F.nullif(_first(paths, "long"), F.lit(0)) if p.defaults.get("amounts") == ZERO_IS_NONE else _first(paths, "long")
@@ -94,8 +102,9 @@ def map_source(rows: DataFrame, source: str) -> DataFrame:
     names = F.transform(F.try_variant_get("v", p.skills[0], "array<variant>"), lambda x: clean(F.try_variant_get(x, p.skills[1], "string"))) if p.skills else F.array().cast("array<string>")
     texts = ("title", "slug", "company", "category", "city", "region", "country", "place", "currency", "period", "pay", "kinds", "work", "level", "posted", "updated", "label", "status", "description", "needs")
     df = rows.select("source", "external_id", "scraped_at", F.sha2("payload", 256).alias("raw_hash"), F.try_parse_json("payload").alias("v"))
+    traced = [n for n in ("title", "company", "place", "city", "low", "pay", "posted", "description") if getattr(p, n)]
     df = df.select(
-        "source", "external_id", "scraped_at", "raw_hash", *(_first(getattr(p, n)).alias(f"t_{n}") for n in texts), amount(p.low).alias("t_low"), amount(p.high).alias("t_high"),
+        "source", "external_id", "scraped_at", "raw_hash", *(_winner(getattr(p, n)).alias(f"p_{n}") for n in traced), *(_first(getattr(p, n)).alias(f"t_{n}") for n in texts), amount(p.low).alias("t_low"), amount(p.high).alias("t_high"),
         remote.alias("t_remote"), hybrid.alias("t_hybrid"), (yes("$.isClosed", False) | ~yes("$.isPublished", True)).alias("t_closed"), names.alias("t_names"),
     )
     df = df.withColumns({
@@ -107,7 +116,7 @@ def map_source(rows: DataFrame, source: str) -> DataFrame:
     df = df.withColumn("t_text", roles.level_text(F.col("t_title"), F.col("t_description"), F.col("t_needs")))
     df = df.withColumn("experience_level", F.coalesce(F.nullif(roles.fold(F.col("t_level")), F.lit("unknown")), roles.infer_level(F.col("t_text"))))
     df = salary.normalized(df, F.col("t_low"), F.col("t_high"), F.col("t_currency"), F.col("t_period"), F.col("t_pay"))
-    where = {n: getattr(p, n)[0] for n in ("title", "company", "place", "city", "low", "pay", "posted", "description") if getattr(p, n)}
+    paths = F.filter(F.array(*(F.struct(F.lit(n).alias("key"), F.col(f"p_{n}").alias("value")) for n in traced)), lambda x: x["value"].isNotNull())
     none = F.array().cast("array<string>")
     t = lambda n: F.col(f"t_{n}")
     return df.select(
@@ -115,5 +124,5 @@ def map_source(rows: DataFrame, source: str) -> DataFrame:
         roles.location(t("city"), t("region"), t("country"), t("place"), F.col("work_type") == "remote").alias("location"), "salary",
         roles.employment_type(t("kinds")).alias("employment_type"), "work_type", "experience_level", t("description").alias("description"), t("needs").alias("requirements"),
         F.coalesce(F.array_distinct(F.array_compact("t_names")), none).alias("skills"), dates.absolute(t("posted")).alias("posted_at"), dates.absolute(t("updated")).alias("source_updated_at"),
-        dates.posted_label(t("posted"), t("label")).alias("posted_label"), "status", F.create_map(*(F.lit(x) for kv in where.items() for x in kv)).alias("provenance"),
+        dates.posted_label(t("posted"), t("label")).alias("posted_label"), "status", F.map_from_entries(paths).alias("provenance"),
     )

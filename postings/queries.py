@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postings.functions import clean_html, html, identity, json, redact, requirements, roles, salary, text
 from postings.operators import delivery, keyed, ledgers, quality, ranks, reports, runs, validate
-from postings.plans import contracts, dataset, relations
+from postings.plans import contracts, dataset, model_rows, relations
 from postings.sources import captures, mappers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -838,7 +838,7 @@ def source_selection(spark, sf_dir):
     return runs.select_sources(nation.select("source"), config)
 
 
-for _name, (_query, _sql) in (dataset.queries(table) | relations.queries(table) | contracts.queries(table)).items():
+for _name, (_query, _sql) in (dataset.queries(table) | relations.queries(table) | contracts.queries(table) | model_rows.queries(table)).items():
     QUERIES[_name] = _query
     if _sql:
         ORACLES[_name] = _sql

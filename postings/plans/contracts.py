@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.functions import wording
-from postings.operators import contract, model_outputs, nested, quality
+from postings.operators import contract, model_outputs, nested, quality, semantic
 from postings.operators.shared import fresh_path
 from postings.plans import export
 from postings.sources import replay, warehouse
@@ -177,6 +177,41 @@ def queries(table: Callable[[SparkSession, str, str], DataFrame]) -> dict[str, t
         rows = spark.read.parquet(f"{root}/rows")
         return rows.withColumn("source_timestamp", F.col("source_timestamp").cast("string"))
 
+    def requirement_kinds(spark, sf_dir):
+        """Orders of the last digit's source, with parts as requirements: of source 3 all OTHER, one each; no orders of source 9."""
+        k = F.col("o_orderkey")
+        rows = table(spark, sf_dir, "orders").where(k % 10 != 9).select(k.alias("job"), F.concat(F.lit("s"), k % 10).alias("source"))
+        parts = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).where((F.col("l_orderkey") % 10 != 3) | (F.col("l_linenumber") == 1))
+        kind = F.when((F.col("l_orderkey") % 10 == 3) | (F.col("l_returnflag") == "N"), "OTHER").otherwise("SKILL")
+        value = F.concat("p_name", F.when(F.col("l_quantity") == 7, F.lit(" (Bonus/THR)")).when(F.col("l_quantity") == 8, F.lit(" bonuses")).otherwise(""))
+        return rows, parts.select(F.col("l_orderkey").alias("job"), kind.alias("type"), value.alias("value"))
+
+    def requirement_totals(spark, sf_dir):
+        return semantic.requirement_totals(*requirement_kinds(spark, sf_dir), "job", "source")
+
+    def semantic_warnings(spark, sf_dir):
+        nation = table(spark, sf_dir, "nation").where("n_nationkey < 10")
+        enabled = nation.select(F.concat(F.lit("s"), F.col("n_nationkey")).alias("source"), (F.col("n_nationkey") != 4).alias("enabled"))
+        return semantic.semantic_warnings(requirement_totals(spark, sf_dir), enabled, ("s5",))
+
+    def display_quality(spark, sf_dir):
+        texts = table(spark, sf_dir, "pages").select((F.col("page_id") % 3).alias("group"), F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise("<p>x</p>").alias("d"), F.when(F.col("page_id") % 5 == 0, "<p> Persyaratan : a").when(F.col("page_id") % 5 == 1, "<b>x</b>").alias("s"))
+        return semantic.display_quality(texts, ["group"], "d", "s")
+
+    def sensitive_texts(spark, sf_dir):
+        k = F.col("doc_id") % 7
+        lead = F.when(k == 0, "Cookie: a=b; ").when(k == 1, "Authorization: Bearer x ").when(k == 2, "see postgresql://h/d and ").when(k == 3, "no cookie here, ").otherwise("")
+        return table(spark, sf_dir, "documents").select("doc_id", semantic.is_sensitive(F.concat(lead, "text")).alias("sensitive"))
+
+    def paging(spark, sf_dir):
+        k = F.col("o_orderkey")
+        docs = F.transform(F.sequence(F.lit(1), (k % 4 + 1).cast("int")), lambda i: F.struct(i.alias("id")))
+        a = F.struct(F.struct(docs.alias("docs"), F.when(k % 3 != 0, k % 7 - 1).alias("page"), F.when(k % 2 == 0, k % 5).alias("limit"), F.when(k % 5 != 0, k).alias("totalDocs"), F.when(k % 4 == 0, k % 9).alias("totalPages")).alias("data"))
+        c = F.struct(F.struct(F.struct(docs.alias("data"), F.when(k % 5 != 0, k).alias("totalCount"), F.struct(F.when(k % 2 == 0, k % 5).alias("pageSize")).alias("searchParams")).alias("jobSearchV6")).alias("data"))
+        orders = table(spark, sf_dir, "orders")
+        parts = [semantic.page_totals(orders.select(k.alias("page_id"), F.to_json(body).alias("payload")), source).withColumn("source", F.lit(source)) for source, body in (("source_a", a), ("source_c", c))]
+        return quality.union_all(parts)
+
     fold = "coalesce(t, '')"
     for pattern, to in wording.REWRITES:
         fold = "regexp_replace({}, '{}', '{}', 'gi')".format(fold, pattern, to.replace("$", chr(92)).replace("'", "''"))
@@ -210,7 +245,32 @@ rq AS (SELECT job, array_to_string(list(type || ':Works with a ' || p_name || '
 bad AS (SELECT DISTINCT job FROM p WHERE type = 'magic'),
 v AS (SELECT j.*, skills, requirements, list_filter([CASE WHEN k % 37 = 0 THEN 'missing_title' END, CASE WHEN low > 300000 THEN 'salary_reversed' END, CASE WHEN bad.job IS NOT NULL THEN 'bad_requirement_type' END], lambda x: x IS NOT NULL) AS reasons
   FROM j LEFT JOIN sk ON sk.job = k LEFT JOIN rq ON rq.job = k LEFT JOIN bad ON bad.job = k) """
+    kinds = """WITH r AS (SELECT l_orderkey AS job, CASE WHEN l_orderkey % 10 = 3 OR l_returnflag = 'N' THEN 'OTHER' ELSE 'SKILL' END AS type, l_quantity = 7 AS noisy FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey % 10 <> 3 OR l_linenumber = 1),
+k AS (SELECT job, count(*) AS n, count(*) FILTER (type = 'OTHER') AS other, count(*) FILTER (noisy) AS noisy FROM r GROUP BY job),
+t AS (SELECT 's' || (o_orderkey % 10) AS source, count(*) AS jobs, coalesce(sum(n), 0)::BIGINT AS requirements, coalesce(sum(other), 0)::BIGINT AS other, count(*) FILTER (n = 1) AS single, coalesce(sum(noisy), 0)::BIGINT AS noisy FROM orders LEFT JOIN k ON job = o_orderkey WHERE o_orderkey % 10 <> 9 GROUP BY 1) """
     return {
+        "requirement_totals": (requirement_totals, kinds + "SELECT * FROM t"),
+        "semantic_warnings": (semantic_warnings, kinds + """, e AS (SELECT 's' || n_nationkey AS source, n_nationkey <> 4 AS enabled FROM nation WHERE n_nationkey < 10), j AS (SELECT source, enabled, coalesce(jobs, 0) AS jobs, coalesce(requirements, 0) AS q, coalesce(other, 0) AS other, coalesce(single, 0) AS single FROM t FULL JOIN e USING (source)),
+a AS (SELECT sum(jobs) AS jobs, sum(requirements) AS q, sum(other) AS other, sum(single) AS single, sum(noisy) AS noisy FROM t)
+SELECT 'disabledSourcePresent' AS name, 'fail' AS severity, source FROM j WHERE NOT enabled AND jobs > 0 UNION ALL SELECT 'enabledSourceMissing', 'warn', source FROM j WHERE enabled AND jobs = 0
+UNION ALL SELECT 'detailCapableRequirementQuality', 'fail', source FROM j WHERE source <> 's5' AND jobs >= 3 AND (q / jobs <= 1 OR (single / jobs >= 0.95 AND q > 0 AND other / q >= 0.5))
+UNION ALL SELECT 'requirementsOtherRate', 'fail', NULL FROM a WHERE q > 0 AND other = q UNION ALL SELECT 'jobsWithSingleRequirementRate', 'fail', NULL FROM a WHERE jobs > 0 AND single = jobs UNION ALL SELECT 'noisyRequirementCount', 'fail', NULL FROM a WHERE noisy > 0"""),
+        "display_quality": (display_quality, r"""
+WITH t AS (SELECT page_id % 3 AS g, page_id, CASE WHEN page_id % 2 = 0 THEN html ELSE '<p>x</p>' END AS d FROM pages),
+s AS (SELECT *, coalesce(NOT regexp_matches(d, '(?i)(?:<\s*/?\s*(?:script|style|iframe|object|embed|svg)|on[a-z]+\s*=|javascript\s*:)')
+  AND len(list_filter(regexp_extract_all(d, '<\s*/?\s*([a-zA-Z0-9]+)([^>]*)>', 1), lambda x: lower(x) NOT IN ('p', 'ul', 'ol', 'li', 'strong', 'em', 'br'))) = 0
+  AND len(list_filter(regexp_extract_all(d, '<\s*/?\s*([a-zA-Z0-9]+)([^>]*)>', 2), lambda x: trim(x) <> '')) = 0, true) AND page_id % 5 <> 1 AS safe FROM t)
+SELECT g AS "group", count(*) FILTER (safe) AS safe_display_html, count(*) FILTER (NOT safe) AS unsafe_html, count(*) FILTER (page_id % 5 = 0) AS requirement_summary_prefix FROM s GROUP BY g"""),
+        "sensitive_texts": (sensitive_texts, r"""
+WITH t AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Cookie: a=b; ' WHEN 1 THEN 'Authorization: Bearer x ' WHEN 2 THEN 'see postgresql://h/d and ' WHEN 3 THEN 'no cookie here, ' ELSE '' END || text AS text FROM documents)
+SELECT doc_id, coalesce(contains(lower(text), 'postgresql://') OR contains(lower(text), 'postgresql+asyncpg://') OR (contains(lower(text), 'cookie') AND contains(text, '=')) OR (contains(lower(text), 'authorization') AND contains(lower(text), 'bearer'))
+  OR regexp_matches(text, '(?i)\bBearer\s+[A-Za-z0-9._~+/=-]+') OR regexp_matches(text, '(?i)\b([A-Z0-9._%+-]+)://[^:\s/@]+:[^@\s]+@') OR regexp_matches(text, '(?i)(^|;\s*)([^=;\s]*(?:session|token|csrf|visitor|device)[^=;\s]*)=[^;]+')
+  OR regexp_matches(text, '(?i)\b(jobseeker(?:session|visitor)id|sessionid|visitorid|deviceid)=([a-f0-9-]{16,})'), false) AS sensitive FROM t"""),
+        "paging": (paging, """
+WITH t AS (SELECT o_orderkey AS k, o_orderkey % 4 + 1 AS n FROM orders),
+s AS (SELECT *, CASE WHEN k % 2 = 0 AND k % 5 >= 1 THEN k % 5 ELSE n END AS size, CASE WHEN k % 5 <> 0 THEN k ELSE n END AS total FROM t)
+SELECT 'source_a' AS source, k AS page_id, CASE WHEN k % 3 <> 0 AND k % 7 - 1 >= 1 THEN k % 7 - 1 ELSE 1 END AS page, size, total, CASE WHEN k % 4 = 0 THEN k % 9 ELSE 0 END AS pages, n AS rows FROM s
+UNION ALL SELECT 'source_c', k, 1, size, total, ceil(total / size)::BIGINT, n FROM s"""),
         "rewritten_texts": (rewritten_texts, again + f"SELECT conv_id, turn, {one_space.format(fold)} AS text FROM s"),
         "block_texts": (block_texts, again + f"SELECT conv_id, turn, {one_space.format("replace(replace(" + one_space.format("'first • ' || t || ' - last'") + ", '•', '. '), ' - ', '. ')")} AS text FROM s"),
         "export_counts": (export_counts, """

@@ -107,3 +107,15 @@ def test_payload_fields_and_rules(spark):
     body = json.loads(contract.payload_json(valid, ["id"]).first().payload)
     assert body["jobListing"]["salaryMax"] == 5000 and "salaryMin" not in body["jobListing"] and body["sourcePlatform"]["slug"] == "source_a" and len(body["skills"]) == 2 and "ingestionRun" not in body
     assert {(r.job, r.n) for r in contract.orphan_relations(skills, "job", jobs, "id", "skill").collect()} == {(77, 1), (None, 1)}
+
+
+def test_semantic_quality(spark):
+    from postings.operators import semantic as s
+
+    texts = [("Uang THR/bonus", True, False), ("bonuses", False, False), ("Gaji pokok, 5jt", True, False), (None, False, False), ("", False, False), ("Cookie: a=b", False, True), ("Authorization: bearer x", False, True), ("postgresql://h/db", False, True), ("a plain text", False, False), ("https://u:p@host/x", False, True)]
+    got = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "k long, t string").select("k", s.is_noisy(F.col("t")), s.is_sensitive(F.col("t")), s.ensure_display(F.col("t"))).collect()
+    assert [(r[1], r[2]) for r in sorted(got)] == [(n, x) for _, n, x in texts]
+    shown = spark.createDataFrame([(0, "<p onclick='x'>a</p><script>b</script>"), (1, "- a\n- b"), (2, "a < b"), (3, None)], "k long, t string").select("k", s.ensure_display(F.col("t")).alias("d"))
+    assert dict(shown.collect()) == {0: "<p>a</p>", 1: "<ul><li>a</li><li>b</li></ul>", 2: "<p>a &lt; b</p>", 3: None}
+    pages = rows_of(spark, {"data": {"docs": [{}, {}], "page": 0, "limit": "9", "totalDocs": -1, "totalPages": 4}}, {"data": {"docs": []}}, {"data": {}}, None, "bad").select(F.col("k").alias("page_id"), F.col("j").alias("payload"))
+    assert sorted(map(tuple, s.page_totals(pages, "source_a").collect())) == [(0, 1, 2, 2, 4, 2), (1, 1, 1, 0, 0, 0)]

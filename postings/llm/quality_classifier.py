@@ -34,7 +34,7 @@ class ShapeHash(WordHash):
         return found
 
 
-_shapes = ShapeHash(300_000)
+_shapes = ShapeHash(150_000)
 
 
 def indicators(text: bytes | None, bits: int = BITS) -> np.ndarray:

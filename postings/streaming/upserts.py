@@ -70,7 +70,7 @@ def _paths(folder: Folder, parts: dict[int, int], only: set[int] | None = None)
 
 
 def merge(table_path: str, batch: DataFrame, number: int, keys: list[str], order: list[str], parts: int = PARTS) -> dict:
-    """Fold one batch into the table: (rows of the batch's parts rewritten, parts) as published.
+    """Fold one batch into the table, and give the manifest that is current then: n_parts, schema, and each part's version.
 
     Parts go by the keys' hash (null keys are keys); of equal keys the row last by ``order`` stays, stored
     or new, so a late duplicate loses. Nothing happens if this batch, or a later one, is already published.

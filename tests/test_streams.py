@@ -93,3 +93,34 @@ def test_states_of_a_stream_equal_the_batch_fold(spark, tmp_path):
     assert {k for k, s in states.items() if s == "failed"} <= due <= {r.k for r in changes.where("state = 'failed'").collect()} - {99}  # 99 is due tomorrow
     assert {r.k for r in changes.where("event = 'dead_letter'").collect()} >= {k for k, s in states.items() if s == "dead-letter"}
     assert d.retry_delay(1).total_seconds() == 300 and d.retry_delay(3).total_seconds() == 1200 and d.retry_delay(99).total_seconds() == d.RETRY_MOST
+
+
+def test_deliveries_share_calls_by_buckets_and_keep_their_keys_exactly(spark, tmp_path):
+    from datetime import datetime
+
+    big = 2**62 + 1
+    rows = [(None if i % 50 == 0 else big + i, datetime(2024, 1, 1, 0, 0, 0, 123456 + i % 3), datetime(2024, 1, 2, 0, n), i * 10 + n, bool(i % 5 == 0) if n else False, f"e{n}") for i in range(300) for n in range(i % 4 + 1)]
+    schema = "k long, t timestamp, at timestamp, attempt_id long, ok boolean, error string"
+    for half in (rows[::2], rows[1::2]):
+        spark.createDataFrame(half, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counted(d.DeliveryFold):
+        def __call__(self, *a):
+            calls.add(1)
+            return super().__call__(*a)
+
+    log, plain = str(tmp_path / "log"), d.DeliveryFold
+    d.DeliveryFold = Counted
+    try:
+        stream = incremental.files(spark, str(tmp_path / "in"), schema, 1)
+        changes = d.delivery_states(stream, ["k", "t"], buckets=8)
+        keep = lambda batch, number: batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{log}/n={number}")
+        changes.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        d.DeliveryFold = plain
+    assert 0 < calls.value <= 2 * 8  # two batches, however many deliveries
+    columns = ["k", "t", "attempts", "state", "error", "last_at"]
+    got = d.latest_states(spark.read.parquet(log), ["k", "t"]).select(columns).collect()
+    want = ledgers.delivery_state(spark.createDataFrame(rows, schema), ["k", "t"]).select(columns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and any(r.k is None for r in got) and any(r.k == big + 1 for r in got)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postings.functions.text import SPACE
+from postings.functions.text import SPACE, once
 
 #: Tags that display HTML may have, and what makes HTML unsafe.
 ALLOWED = ("p", "ul", "ol", "li", "strong", "em", "br")
@@ -34,8 +34,8 @@ def is_safe(html: Column) -> Column:
 def display(text: Column) -> Column:
     """Plain text as a paragraph, or as a list when two lines or more are bullets."""
     lines = F.filter(F.transform(F.split(text, r"\n+"), lambda x: F.trim(x)), lambda x: x != "")
-    bullets = F.filter(lines, lambda x: x.rlike(r"^[-*•]\s*"))
+    bullets = lambda lines: F.filter(lines, lambda x: x.rlike(r"^[-*•]\s*"))
     escape = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     item = lambda x: F.concat(F.lit("<li>"), escape(F.regexp_replace(x, r"^[-*•]\s*", "")), F.lit("</li>"))
-    listed = F.concat(F.lit("<ul>"), F.array_join(F.transform(lines, item), ""), F.lit("</ul>"))
-    return F.when(F.size(bullets) >= 2, listed).when(F.size(lines) > 0, F.concat(F.lit("<p>"), escape(F.array_join(lines, " ")), F.lit("</p>")))
+    listed = lambda lines: F.concat(F.lit("<ul>"), F.array_join(F.transform(lines, item), ""), F.lit("</ul>"))
+    return once(lines, lambda x: F.when(F.size(bullets(x)) >= 2, listed(x)).when(F.size(x) > 0, F.concat(F.lit("<p>"), escape(F.array_join(x, " ")), F.lit("</p>"))))

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postings.functions import html, requirements
-from postings.functions.text import clean, first_by, is_placeholder, without_noise
+from postings.functions.text import clean, first_by, is_placeholder, once, without_noise
 
 #: Names of skills, which stand for their own lower-case spelling, and the spellings that differ.
 NAMES = (
@@ -66,7 +66,7 @@ def _once(values: Column) -> Column:
 def split_skills(c: Column) -> Column:
     """Skills of one value, which may hold several between commas, slashes, "and" and the like."""
     parts = F.filter(F.transform(F.split(c, SKILL_SPLIT), lambda x: F.trim(x)), lambda x: x != "")
-    return F.when(~c.rlike(SKILL_MARKS) | (F.size(parts) == 0), F.array(c)).otherwise(parts)
+    return F.when(~c.rlike(SKILL_MARKS), F.array(c)).otherwise(once(parts, lambda p: F.when(F.size(p) == 0, F.array(c)).otherwise(p)))
 
 
 def is_skill(c: Column) -> Column:
@@ -99,11 +99,13 @@ def first_filled(*arrays: Column) -> Column:
 
 def is_low_signal(c: Column) -> Column:
     """Whether a requirement says too little: an empty phrase, or one or two tokens that aren't a tech term."""
-    bare = F.btrim(F.lower(clean(c)), F.lit(" ."))
-    phrase = bare.isin(*EMPTY_WHOLE) | bare.rlike(EMPTY_PARTS) | bare.rlike(EMPTY_BEGIN)
-    praise = bare.rlike(EMPTY_END) & (F.size(F.split(bare, " +")) <= 6)
     short = (F.regexp_count(c, F.lit(TOKEN)) < FEWEST) & ~F.trim(c).rlike(f"^(?:{requirements.TECH})$")
-    return bare.isNull() | phrase | praise | short
+
+    def empty(bare: Column) -> Column:
+        phrase = bare.isin(*EMPTY_WHOLE) | bare.rlike(EMPTY_PARTS) | bare.rlike(EMPTY_BEGIN)
+        return bare.isNull() | phrase | bare.rlike(EMPTY_END) & (F.size(F.split(bare, " +")) <= 6)
+
+    return once(F.btrim(F.lower(clean(c)), F.lit(" .")), empty) | short
 
 
 def items(c: Column) -> Column:
@@ -134,11 +136,10 @@ def fallback_requirements(title: Column, wanted: Column, described: Column) -> C
 
 def summary(wanted: Column, skills: Column) -> Column:
     """Display HTML of up to 6 items: a sentence or a list; without items a sentence of skills, without either null."""
-    few = F.slice(wanted, 1, SUMMARY_MOST)
-    bullets = F.array_join(F.transform(few, lambda x: F.concat(F.lit("- "), x)), "\n")
-    sentence = F.concat(F.lit("Proficient in "), F.array_join(F.slice(skills, 1, SUMMARY_MOST), ", "), F.lit("."))
-    text = F.when(F.size(few) == 1, F.concat(F.get(few, 0), F.lit(".")))
-    return html.display(text.when(F.size(few) > 1, bullets).when(F.size(skills) > 0, sentence))
+    bullets = lambda few: F.array_join(F.transform(few, lambda x: F.concat(F.lit("- "), x)), "\n")
+    named = once(skills, lambda s: F.when(F.size(s) > 0, F.concat(F.lit("Proficient in "), F.array_join(F.slice(s, 1, SUMMARY_MOST), ", "), F.lit("."))))
+    text = lambda few: F.when(F.size(few) == 1, F.concat(F.get(few, 0), F.lit("."))).when(F.size(few) > 1, bullets(few)).otherwise(named)
+    return html.display(once(F.slice(wanted, 1, SUMMARY_MOST), text))
 
 
 def enrichment(skills: Column, requirements_: Column, *, skill_confidence: float = 0.6, requirement_confidence: float = 0.5) -> Column:

@@ -88,14 +88,19 @@ def role_keywords(title: Column, most: int = 30) -> Column:
     return F.slice(F.filter(F.split(F.lower(title), "[^a-zA-Z0-9]+"), lambda t: F.length(t) >= 3), 1, most)
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``c``, which is worked out once however often ``use`` mentions it (a Column in place of each mention would be as many copies)."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def first_by(values: Column, key: Callable[[Column], Column]) -> Column:
     """Array without later elements of a key already seen; the first spelling stays. Keys must not be null.
 
     By sorting (key, place), so the work is n log n: no element is looked up in the whole array.
     """
     s = F.sort_array(F.transform(values, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(s, lambda e: e["k"]))
-    firsts = F.zip_with(s, before, lambda e, k: F.when(e.isNotNull() & ~e["k"].eqNullSafe(k), F.struct(e["i"].alias("i"), e["x"].alias("x"))))
+    before = lambda s: F.concat(F.array(F.lit(None).cast("string")), F.transform(s, lambda e: e["k"]))
+    firsts = once(s, lambda s: F.zip_with(s, before(s), lambda e, k: F.when(e.isNotNull() & ~e["k"].eqNullSafe(k), F.struct(e["i"].alias("i"), e["x"].alias("x")))))
     return F.transform(F.sort_array(F.filter(firsts, lambda e: e.isNotNull())), lambda e: e["x"])
 
 

@@ -9,7 +9,7 @@ from postings.functions import dates, html, requirements, roles, salary, skills,
 from postings.operators.delivery import status_code
 from postings.operators.nested import block_text
 from postings.operators.ranks import unused
-from postings.operators.validate import MOST_RELATIONS, violations
+from postings.operators.validate import MOST_RELATIONS, parted, violations
 
 # fixed values: the contract's enums, lengths and texts
 WORK_TYPES = ("REMOTE", "HYBRID", "ONSITE")
@@ -120,7 +120,10 @@ def job_requirements(rows: DataFrame, job: str, order: list[str]) -> tuple[DataF
     rows = rows.withColumns({"type": F.upper(F.trim("type")), "value": block_text(F.col("value"))})
     valid = F.coalesce(F.col("type").isin(*REQUIREMENT_TYPES), F.lit(False))
     bad = rows.where(~valid).select(job, F.lit("bad_requirement_type").alias("reason")).distinct()
-    kept = rows.where(valid & F.col("value").isNotNull() & ~requirements.is_noise(F.col("value")) & ~skills.is_low_signal(F.col("value")))
+    # the row number keeps the condition above the cleaned value, which it mentions many times
+    place, = unused(rows, "row")
+    told = F.col("value").isNotNull() & ~requirements.is_noise(F.col("value")) & ~skills.is_low_signal(F.col("value"))
+    kept = rows.where(valid).withColumn(place, F.monotonically_increasing_id()).where(told & (F.col(place) >= 0)).drop(place)
     entry = F.struct("type", "value", F.upper(F.trim("priority")).alias("priority"), F.col("confidence").cast("double").alias("confidence"), F.col("origin").alias("source"))
     keyed = kept.withColumn("key", F.concat_ws(" ", "type", "value"))
     return relation_lists(keyed, job, "key", order, entry), bad
@@ -160,7 +163,8 @@ def consumer_payloads(fields: DataFrame, keys: list[str], skill_lists: DataFrame
     reasons = rejected.groupBy(F.col(job).alias("of_job")).agg(F.array_sort(F.collect_set("reason")).alias("refused"))
     both = both.join(reasons, F.col(keys[0]) == F.col("of_job"), "left").drop("of_job")
     judged = both.withColumn("reasons", F.concat(violations(contract_rules()), F.coalesce("refused", F.array().cast("array<string>")))).drop("refused")
-    return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0).select(*keys, "reasons")
+    good, bad = parted(judged, "reasons")
+    return good.drop("reasons"), bad.select(*keys, "reasons")
 
 
 def payload_json(valid: DataFrame, keys: list[str]) -> DataFrame:

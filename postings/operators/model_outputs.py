@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postings.functions import dates, html, roles, salary, text, wording
 from postings.operators.nested import best_evidence, block_text, evidence
-from postings.operators.validate import STATUSES, violations
+from postings.operators.validate import STATUSES, parted, violations
 
 #: What is read of an output; other keys break a rule.
 OUTPUT = (
@@ -93,8 +93,9 @@ def merged_fields(requests: DataFrame, outputs: DataFrame, *, language: str = "e
     late = F.when(F.col("limited") & F.coalesce("shown", "summary").isNull(), F.array(F.lit("source_limited_summary_required"))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("reasons", F.when(F.size("reasons") == 0, late).otherwise(F.col("reasons")))
     chosen = [F.struct(F.lit(name).alias("field"), *_first(options)) for name, options in fields.items()]
-    good = rows.where(F.size("reasons") == 0).select("item_id", F.explode(F.array(*chosen)).alias("f")).select("item_id", "f.*")
-    return good.where("value is not null"), rows.where(F.size("reasons") > 0).select("item_id", "reasons")
+    valid, rejected = parted(rows, "reasons")
+    good = valid.select("item_id", F.explode(F.array(*chosen)).alias("f")).select("item_id", "f.*")
+    return good.where("value is not null"), rejected.select("item_id", "reasons")
 
 
 def _first(options: list[tuple[Column, str]]) -> list[Column]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postings.operators.ranks import unused
+
 #: Enums of the canonical record and lengths of the delivery contract.
 STATUSES = ("active", "inactive", "stale", "expired", "unknown")
 WORK_TYPES = ("onsite", "hybrid", "remote", "unknown")
@@ -33,15 +35,22 @@ def canonical_rules() -> dict[str, Column]:
     }
 
 
-def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(rows that break no rule, the others with ``violations``).
+def parted(judged: DataFrame, broken: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose list ``broken`` is empty, the others), both with all columns.
 
     The row number in the condition keeps Catalyst from pushing it below the projections, where
     it would put a copy of each whole column expression in place of each mention.
     """
-    judged = df.withColumns({"violations": violations(rules), "_row": F.monotonically_increasing_id()})
-    number = F.size("violations") + F.when(F.col("_row") < 0, 1).otherwise(0)
-    return judged.where(number == 0).drop("violations", "_row"), judged.where(number > 0).drop("_row")
+    row, = unused(judged, "row")
+    judged = judged.withColumn(row, F.monotonically_increasing_id())
+    number = F.size(broken) + F.when(F.col(row) < 0, 1).otherwise(0)
+    return judged.where(number == 0).drop(row), judged.where(number > 0).drop(row)
+
+
+def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(rows that break no rule, the others with ``violations``)."""
+    good, bad = parted(df.withColumn("violations", violations(rules)), "violations")
+    return good.drop("violations"), bad
 
 
 def quarantine_rows(bad: DataFrame, keys: list[str], at: Column) -> DataFrame:

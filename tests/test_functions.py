@@ -138,3 +138,15 @@ def test_json(spark):
     assert values(spark, json.has_text_under(A, ("token",)), rows) == [True, None, None, False]
     assert values(spark, json.gap_count(A), [("[1,2]",), ('{"gaps":[1]}',), ('{"x":1,"y":2}',), ("text",), ("",), (None,)]) == [2, 1, 2, 1, 0, 0]
     assert values(spark, json.canonical_struct({"z": A, "a": B}), [("x", None)]) == ['{"a":null,"z":"x"}']
+
+
+def test_a_part_that_is_used_many_times_stands_in_the_plan_once(spark):
+    from postings.functions import html, skills, text
+
+    df = spark.range(1).selectExpr("CAST(id AS string) AS x")
+    count = lambda c: df.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString().count("MARK")
+    marked = F.regexp_replace("x", "MARK", "")
+    assert count(text.first_by(F.split("x", "MARK"), F.lower)) == 1
+    assert count(html.display(marked)) == 1
+    assert count(skills.summary(F.split("x", "MARK"), F.array(F.lit("SQL")))) == 1
+    assert count(skills.is_low_signal(marked)) <= 3

@@ -507,12 +507,13 @@ def role_families(spark, sf_dir):
 
 def _pages(orders: DataFrame, source: str) -> DataFrame:
     """Pages of 25 orders as a source would send them; every 20th order has no id, every 50th page no list."""
-    entry = F.struct(
-        F.when(F.col("o_orderkey") % 20 > 0, F.col("o_orderkey").cast("string")).alias("id"), F.concat(F.lit("s-"), F.col("o_orderkey").cast("string")).alias("slug"), F.col("o_orderpriority").alias("positionName"),
-        F.struct(F.col("o_orderstatus").alias("name")).alias("company"),
+    # entries are built after the shuffle, which carries only what they are made of
+    entry = lambda x: F.struct(
+        F.when(x["k"] % 20 > 0, x["k"].cast("string")).alias("id"), F.concat(F.lit("s-"), x["k"].cast("string")).alias("slug"), x["p"].alias("positionName"), F.struct(x["s"].alias("name")).alias("company")
     )
-    page = orders.groupBy(F.floor(F.col("o_orderkey") / 125).alias("page_id")).agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), entry.alias("e")))).alias("a"))
-    text = F.to_json(F.transform("a", lambda x: x["e"]))
+    kept = F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"))
+    page = orders.groupBy(F.floor(F.col("o_orderkey") / 125).alias("page_id")).agg(F.sort_array(F.collect_list(kept)).alias("a"))
+    text = F.to_json(F.transform("a", entry))
     wrap = {
         "source_a": ('{"data":{"docs":', "}}"), "source_b": ('{"data":{"searchJobsV3":{"hasMore":true,"jobsInPage":', "}}}"), "source_c": ('{"data":{"jobSearchV6":{"totalCount":1,"data":', "}}}"),
         "source_d": ('{"pageProps":{"jobs":', "}}"), "source_e": ('{"data":{"vacanciesV4":{"list":', "}}}"),

@@ -92,9 +92,12 @@ def merged_fields(requests: DataFrame, outputs: DataFrame, *, language: str = "e
     }
     late = F.when(F.col("limited") & F.coalesce("shown", "summary").isNull(), F.array(F.lit("source_limited_summary_required"))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("reasons", F.when(F.size("reasons") == 0, late).otherwise(F.col("reasons")))
-    chosen = [F.struct(F.lit(name).alias("field"), *_first(options)) for name, options in fields.items()]
     valid, rejected = parted(rows, "reasons")
-    good = valid.select("item_id", F.explode(F.array(*chosen)).alias("f")).select("item_id", "f.*")
+    # each value is a column before it is mentioned twice, as what is chosen and as what tells the origin
+    options = {f"{name}_{i}": value for name, few in fields.items() for i, (value, _) in enumerate(few)}
+    given = valid.select("item_id", *(value.alias(c) for c, value in options.items()))
+    chosen = [F.struct(F.lit(name).alias("field"), *_first([(F.col(f"{name}_{i}"), origin) for i, (_, origin) in enumerate(few)])) for name, few in fields.items()]
+    good = given.select("item_id", F.explode(F.array(*chosen)).alias("f")).select("item_id", "f.*")
     return good.where("value is not null"), rejected.select("item_id", "reasons")
 
 

@@ -22,30 +22,46 @@ SHORTEST, SKILL_CHARS, SKILLS_MOST = 2, 80, 20
 TRACKING = r"(?i)(trace|tracking|queryid|query_id|solid|sol_id)"
 
 
-def scalars(df: DataFrame, keys: list[str], json: str) -> DataFrame:
+#: Levels that are opened in one pass before anything is written.
+LEVELS = 6
+
+
+def scalars(df: DataFrame, keys: list[str], json: str, families: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """A row a scalar at any depth of a JSON column: (keys, place, names, value, kind).
 
     ``names`` are the object keys on the way, outermost first, ``place`` the positions (of keys in
     alphabetical order, of list entries), ``kind`` Spark's type of the value. Null and invalid JSON have
-    no row. Containers are opened a level at a time, all rows at once, inside the JVM; each
-    level is written, and as many follow as the deepest value needs.
+    no row. Containers are opened LEVELS levels a pass, all rows at once, inside the JVM; each pass
+    is written once, and as many follow as the deepest value needs. With ``families``, a column ``below``
+    has a bit for each whose names (case aside) hold a key on the way.
     """
     value, place, names = "value", "place", "names"
-    level = df.select(*keys, F.array().cast("array<int>").alias(place), F.array().cast("array<string>").alias(names), F.try_parse_json(json).alias(value)).where(f"{value} is not null")
-    found = []
+    families = families or {}
     spark = df.sparkSession
+    level = df.select(
+        *keys, F.array().cast("array<int>").alias(place), F.array().cast("array<string>").alias(names), F.lit(0).alias("below"), F.try_parse_json(json).alias(value)
+    ).where(f"{value} is not null")
+    bits = F.lit(0)
+    for i, members in enumerate(families.values()):
+        bits = bits.bitwiseOR(F.when(F.lower("key").isin(*members), 1 << i).otherwise(0))
+    container = lambda kind: kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    columns = [*keys, place, names, *(["below"] if families else [])]
+    found = []
     while True:
-        level = materialize(level, "json-level")
+        for _ in range(LEVELS):  # a scalar goes through as it is, an empty container has no row
+            inner = level.withColumnRenamed(value, "whole").lateralJoin(spark.tvf.variant_explode_outer(F.col("whole").outer()))
+            inner = inner.where(F.when(F.col("pos").isNull(), ~container(F.schema_of_variant("whole"))).otherwise(True))
+            level = inner.select(
+                *keys, F.when(F.col("pos").isNull(), F.col(place)).otherwise(F.array_append(place, F.col("pos"))).alias(place),
+                F.when(F.col("key").isNull(), F.col(names)).otherwise(F.array_append(names, F.col("key"))).alias(names),
+                (F.when(F.col("key").isNull(), F.col("below")).otherwise(F.col("below").bitwiseOR(bits)) if families else F.col("below")).alias("below"),
+                F.when(F.col("pos").isNull(), F.col("whole")).otherwise(F.col(value)).alias(value),
+            )
+        opened = materialize(level.withColumn("kind", F.schema_of_variant(value)), "json-levels")
+        found.append(opened.where(~container(F.col("kind"))).select(*columns, F.try_variant_get(value, "$", "string").alias(value), "kind"))
+        level = opened.where(container(F.col("kind"))).drop("kind")
         if level.isEmpty():
             break
-        kind = F.schema_of_variant(value)
-        leaf = level.withColumn("kind", kind).where(~F.col("kind").startswith("OBJECT") & ~F.col("kind").startswith("ARRAY"))
-        found.append(leaf.select(*keys, place, names, F.try_variant_get(value, "$", "string").alias(value), "kind"))
-        inner = level.withColumnRenamed(value, "whole").lateralJoin(spark.tvf.variant_explode(F.col("whole").outer()))
-        grown = F.when(F.col("key").isNull(), F.col(names)).otherwise(F.array_append(names, F.col("key")))
-        level = inner.select(*keys, F.array_append(place, F.col("pos")).alias(place), grown.alias(names), value)
-    if not found:
-        return level.select(*keys, place, names, F.lit(None).cast("string").alias(value), F.lit(None).cast("string").alias("kind"))
     return reduce(lambda a, b: a.unionByName(b), found)
 
 
@@ -60,10 +76,9 @@ def evidence(df: DataFrame, keys: list[str], json: str, families: dict[str, tupl
 
     A text below keys of several families is in each of them; a skill has at most 80 characters.
     """
-    rows = scalars(df, keys, json).where("kind = 'STRING'").withColumn("text", block_text(F.col("value"))).where(F.length("text") >= SHORTEST)
-    below = F.transform("names", lambda n: F.lower(n))
-    member = [F.when(F.arrays_overlap(below, F.array(*map(F.lit, names))) & ((F.length("text") <= SKILL_CHARS) if f == "skill" else F.lit(True)), f) for f, names in families.items()]
-    return rows.select(*keys, F.explode(F.array_compact(F.array(*member))).alias("family"), "place", "text")
+    rows = scalars(df, keys, json, families).where("kind = 'STRING' and below <> 0").withColumn("text", block_text(F.col("value"))).where(F.length("text") >= SHORTEST)
+    member = [F.when((F.col("below").bitwiseAND(1 << i) != 0) & ((F.length("text") <= SKILL_CHARS) if f == "skill" else F.lit(True)), f) for i, f in enumerate(families)]
+    return rows.select(*keys, F.explode(F.array(*member)).alias("family"), "place", "text").where("family is not null")
 
 
 def best_evidence(found: DataFrame, keys: list[str]) -> DataFrame:

@@ -119,3 +119,13 @@ def test_semantic_quality(spark):
     assert dict(shown.collect()) == {0: "<p>a</p>", 1: "<ul><li>a</li><li>b</li></ul>", 2: "<p>a &lt; b</p>", 3: None}
     pages = rows_of(spark, {"data": {"docs": [{}, {}], "page": 0, "limit": "9", "totalDocs": -1, "totalPages": 4}}, {"data": {"docs": []}}, {"data": {}}, None, "bad").select(F.col("k").alias("page_id"), F.col("j").alias("payload"))
     assert sorted(map(tuple, s.page_totals(pages, "source_a").collect())) == [(0, 1, 2, 2, 4, 2), (1, 1, 1, 0, 0, 0)]
+
+
+def test_levels_are_opened_in_one_pass_and_written_once(spark, monkeypatch):
+    written = []
+    write = nested.materialize
+    monkeypatch.setattr(nested, "materialize", lambda df, name: written.append(name) or write(df, name))
+    found = nested.evidence(rows_of(spark, DEEP, {"SKILLS": {"about": "both kinds"}}, {}, []), ["k"], "j")
+    assert len(written) == 1
+    assert sorted((r.family, r.text) for r in found.where("k = 1").collect()) == [("description", "both kinds"), ("skill", "both kinds")]
+    assert nested.scalars(rows_of(spark, {"a": {"b": {"c": {"d": {"e": {"f": [{"g": ["low", {}]}]}}}}}}), ["k"], "j").count() == 1

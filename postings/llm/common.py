@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """64-bit hashes of words, kept up to a bound so that a worker's memory stays flat."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         super().__init__()
         self.most = most
 
@@ -47,6 +49,17 @@ class WordHash(dict):
 word_hashes = WordHash()
 
 
+def pieces(batch: pa.RecordBatch, most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` bytes of text: many short texts share a pass, and a piece's memory is bounded (by one text at least)."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64))
+    start = 0
+    while start < len(ends):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def windows(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of every k consecutive entries of ``h`` (order matters)."""
     n = len(h) - k + 1

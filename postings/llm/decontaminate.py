@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, key_bits, materialize, windows, with_bit
+from postings.llm.common import WordHash, key_bits, materialize, mix64, pieces, with_bit
 
 WIDTH, LEAST_LITERAL = 8, 4
 #: Items of fewer words than a window are matched whole, down to this many: shorter phrases prove nothing.
@@ -45,11 +45,22 @@ class Token(WordHash):
         return found
 
 
-_tokens = Token(200_000)
+_tokens = Token(120_000)
 
 
-def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, slot types) of the words read in up to four ways: 1 number, 2 name, 3 unit after a number, 0 a literal word.
+def windows_of(h: np.ndarray, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """The hashes that ``windows`` gives for each of the ascending widths, from one pass: a wider one goes on where a narrower one ends."""
+    out, found, k = h.copy(), [], 1
+    for width in widths:
+        while k < width and len(out) > 1:
+            out = mix64(out[:-1]) + h[k:]
+            k += 1
+        found.append(mix64(out) if k == width else np.empty(0, np.uint64))
+    return found
+
+
+def templates(words: list[bytes], starts: np.ndarray, firsts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, slot types) of the words of texts that begin at ``firsts``, read in four ways: 1 number, 2 name, 3 unit after a number, 0 a literal word.
 
     A name is a capitalised word (not one in capitals) that doesn't begin a sentence or the text.
     The first reading has no slots at all. The second has no names, so that case is no matter;
@@ -61,11 +72,13 @@ def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray,
         return []
     number, unit, capital, ends = ((h & bit) != 0 for bit in (NUMBER_BIT, UNIT_BIT, CAPITAL_BIT, END_BIT))
     h &= ~np.uint64(15)
-    capital[0] = False
     capital[1:] &= ~ends[:-1]
+    capital[firsts] = False
     found = [(h.copy(), np.zeros(len(h), np.int8))]
     plain = np.zeros(len(h), np.int8)
-    plain[1:][unit[1:] & number[:-1]] = 3
+    after = unit[1:] & number[:-1]
+    after[firsts[1:] - 1] = False  # a number that ends another text
+    plain[1:][after] = 3
     plain[number] = 1
     for kind in (1, 3):
         h[plain == kind] = _SLOTS[kind]
@@ -81,42 +94,64 @@ def templates(words: list[bytes], starts: np.ndarray) -> list[tuple[np.ndarray,
     return found
 
 
-def template_windows(text: bytes | None, widths: tuple[int, ...], least_literal: int, bits: np.ndarray | None = None, whole: bool = False) -> tuple[list[bytes], list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
-    """The words, and (width, slot types, places, hashes) of each reading's windows that have enough literal words.
+def _read(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words of all texts, bounds of each text's words, places where a line starts)."""
+    lines = [line.split() for text in texts for line in (text or b"").split(b"\n")]
+    n_lines = np.fromiter(((text or b"").count(b"\n") + 1 for text in texts), np.int64, len(texts))
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    words = [w for line in lines for w in line]
+    bounds = np.concatenate([[0], ends[np.cumsum(n_lines) - 1]])
+    starts = np.concatenate([[0], ends[:-1]])
+    return words, bounds, starts[starts < len(words)]
+
+
+def template_windows(texts: list[bytes | None], widths: tuple[int, ...], least_literal: int, bits: np.ndarray | None = None, whole: bool = False) -> tuple[list[bytes], np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The words of all texts, the bounds of each text's, and (width, slot types, places, hashes) of each reading's windows that have enough literal words.
 
     Half of a window's words must be literal, or ``least_literal`` of the widest. The reading
     without slots has only windows that have too few literal words in the next one: they match
     word for word alone. A window that a reading shares with an earlier one is left out; with
-    ``bits`` also those without their bit. With ``whole``, a text shorter than the widest
-    window has one window, itself.
+    ``bits`` also those without their bit. No window goes over a text's end. With ``whole``, a
+    text shorter than the widest window has one window, itself.
     """
-    lines = [line.split() for line in (text or b"").split(b"\n")]
-    words = [w for line in lines for w in line]
-    starts = np.cumsum([0, *map(len, lines)])
+    words, bounds, starts = _read(texts)
+    sizes = np.diff(bounds)
     widest = max(widths)
-    if whole:
-        widths = (min(widest, len(words)),) if len(words) >= SHORTEST else ()
-    readings = templates(words, starts[starts < len(words)])
+    if whole:  # each text has windows of one width
+        own = np.minimum(widest, sizes)
+        own[sizes < SHORTEST] = 0
+        widths = tuple(np.unique(own[own > 0]).tolist())
+        own = np.repeat(own, sizes)
+    left = np.repeat(bounds[1:], sizes) - np.arange(len(words))  # words from here to the text's end
+    readings = templates(words, starts, bounds[:-1][sizes > 0])
+    hashes = [dict(zip(widths, windows_of(h, widths), strict=True)) for h, _ in readings]
+    literals = [np.concatenate([[0], np.cumsum(slot == 0)]) for _, slot in readings]
     out = []
     for width in widths:
+        n_windows = len(words) - width + 1
+        if n_windows <= 0:
+            continue
         earlier = []
         least = -(-least_literal * width // widest)
-        for n, (h, slot) in enumerate(readings):
-            keys = windows(h, width)
-            if not len(keys):
-                break
-            literal = np.concatenate([[0], np.cumsum(readings[max(n, 1)][1] == 0)])
-            fit = (literal[width:] - literal[:-width] >= least) == (n > 0)
+        inside = left[:n_windows] >= width
+        if whole:
+            inside &= own[:n_windows] == width
+        for n, (_, slot) in enumerate(readings):
+            keys = hashes[n][width]
+            literal = literals[max(n, 1)]
+            fit = inside & ((literal[width:] - literal[:-width] >= least) == (n > 0))
             if bits is not None:
-                fit &= with_bit(bits, keys)
+                at = np.flatnonzero(fit)
+                at = at[with_bit(bits, keys[at])]
+            else:
+                at = np.flatnonzero(fit)
             for other in earlier:
-                fit &= keys != other
+                at = at[keys[at] != other[at]]
             if n:
                 earlier.append(keys)
-            at = np.flatnonzero(fit)
             if len(at):
                 out.append((width, slot, at, keys[at]))
-    return words, out
+    return words, bounds, out
 
 
 def _slots(words: list[bytes], slot: np.ndarray, at: int, width: int) -> list[str]:
@@ -129,16 +164,17 @@ def window_table(df: DataFrame, widths: tuple[int, ...], least_literal: int, bit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            rows = zip(batch.column("id").to_pylist(), batch.column("part").to_pylist(), batch.column("text").cast(pa.binary()), strict=True)
-            for row, part, text in rows:
-                words, readings = template_windows(text.as_py(), widths, least_literal, bits, whole)
+            for part in pieces(batch):
+                ids, parts = part.column("id").to_pylist(), part.column("part").to_pylist()
+                words, bounds, readings = template_windows(part.column("text").cast(pa.binary()).to_pylist(), widths, least_literal, bits, whole)
+                out: list[list] = [[], [], [], [], [], []]
                 for width, slot, at, keys in readings:
-                    for a, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                        for column, value in zip(out, (key, row, part, a, width, _slots(words, slot, a, width)), strict=True):
+                    owners = np.searchsorted(bounds, at, "right") - 1
+                    for a, i, key in zip(at.tolist(), owners.tolist(), keys.view(np.int64).tolist(), strict=True):
+                        for column, value in zip(out, (key, ids[i], parts[i], a - int(bounds[i]), width, _slots(words, slot, a, width)), strict=True):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "part", "at", "width", "slots"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "id", "part", "at", "width", "slots"])
 
     return df.mapInArrow(run, "key long, id long, part long, at int, width int, slots array<string>")
 

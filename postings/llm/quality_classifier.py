@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.common import WordHash, mix64, word_hashes
+from postings.llm.common import WordHash, mix64, pieces, word_hashes
 from postings.llm.labelled import dual_coordinate_descent, held_out, platt, training_rows
 
 BITS = 18
@@ -34,7 +34,7 @@ class ShapeHash(WordHash):
         return found
 
 
-_shapes = ShapeHash(150_000)
+_shapes = ShapeHash(100_000)
 
 
 def indicators(text: bytes | None, bits: int = BITS) -> np.ndarray:
@@ -114,7 +114,7 @@ def quality_scores(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             scores = [model.score(indicators(t, bits)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             rest = [batch.column(f"keep_{c}") for c in keep]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), *rest], ["doc_id", "score", *(f"keep_{c}" for c in keep)])

@@ -1,7 +1,9 @@
 from collections import defaultdict
 
+import numpy as np
+
 from postings.llm.chat import rotate
-from postings.llm.decontaminate import flag_contaminated
+from postings.llm.decontaminate import flag_contaminated, template_windows
 
 ITEM = "A train from Berlin travels 120 km in 3 hours and then stops for 45 minutes before it travels 120 km again"
 
@@ -162,3 +164,20 @@ def test_case_and_line_starts(spark):
     docs = [(1, german.lower()), (2, "now " + short.lower()), (3, german.replace("Mehl", "Salz").replace("Bauer", "Müller")), (4, "now " + short.replace("\n", " ")), (5, german.upper())]
     got = {r.doc_id: r.first_item for r in flag_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench, least_literal=3).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1}
+
+
+def test_texts_read_together_keep_their_own_windows():
+    texts = [b"The price was 5", b"kg Rice for the old man in Rome today and more", None, b"", b"In Rome the old man had 7 days left. Paris waits for him there", b"a b c"] * 3
+    sets = []
+    for groups in ([texts], [[t] for t in texts]):
+        found, at_text = set(), 0
+        for group in groups:
+            words, bounds, readings = template_windows(group, (4, 8), 4)
+            for width, slot, places, keys in readings:
+                for at, key in zip(places.tolist(), keys.tolist(), strict=True):
+                    i = int(np.searchsorted(bounds, at, "right")) - 1
+                    assert at + width <= bounds[i + 1]
+                    found.add((at_text + i, at - int(bounds[i]), width, key, tuple(slot[at : at + width])))
+            at_text += len(group)
+        sets.append(found)
+    assert sets[0] == sets[1] and len(sets[0]) > 50

@@ -150,3 +150,14 @@ def test_a_part_that_is_used_many_times_stands_in_the_plan_once(spark):
     assert count(html.display(marked)) == 1
     assert count(skills.summary(F.split("x", "MARK"), F.array(F.lit("SQL")))) == 1
     assert count(skills.is_low_signal(marked)) <= 3
+
+
+def test_pages_are_worked_on_in_slices():
+    import pyarrow as pa
+
+    from postings.functions import clean_html
+
+    pages = [None if i % 7 == 0 else f"<p>{i}</p>" for i in range(2 * clean_html.SLICE + 1)]
+    got = list(clean_html._slices(iter([pa.array(pages, pa.string()), pa.array([], pa.string())]), str.upper))
+    assert [len(x) for x in got] == [clean_html.SLICE, clean_html.SLICE, 1]
+    assert [t for x in got for t in x.to_pylist()] == [None if t is None else t.upper() for t in pages]

@@ -2,8 +2,10 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from postings.llm.line_dedup import DISTANCE, dedup_lines, normal, simhashes
+from postings.llm.common import classes
+from postings.llm.line_dedup import DISTANCE, dedup_lines, normal, shared_buckets, simhashes
 from postings.llm.passages import drop_repeats, super_kmers
 
 
@@ -83,6 +85,38 @@ def test_lines_by_edit_similarity_alone(spark):
     assert len(removed) >= 0.97 * pairs, (len(removed), pairs)
 
 
+def test_a_crowded_bucket_keeps_pairs_that_share_no_other(spark):
+    """400 lines in one bucket, each with a bucket of its own and every other one in a bucket of two."""
+    rows = [(1, i) for i in range(400)] + [(1000 + i, i) for i in range(400)] + [(5000 + i // 4, i) for i in range(400) if i % 4 < 2] + [(1, 7)]
+    got = sorted(map(tuple, shared_buckets(spark.createDataFrame(rows, "key long, head long")).collect()))
+    assert got == sorted({r for r in rows if not 1000 <= r[0] < 5000})
+
+
+def test_classes_of_a_large_bucket_miss_no_link(spark):
+    """1,500 members of one bucket (and some of a second): a large class, pairs with one link only, and members without any."""
+    rnd = random.Random(6)
+    links = {tuple(sorted(rnd.sample(range(700), 2))) for _ in range(3000)} | {(i, 2000 - i) for i in range(701, 1000)} | {(5, 1400)}
+    node = lambda i: f"{i * 7919 % 10007:05d}"
+    named = {tuple(sorted((node(a), node(b)))) for a, b in links}
+    ids = sorted({i for p in links for i in p} | set(range(1300, 1500)))
+    members = spark.createDataFrame([(1, node(i)) for i in ids] + [(2, node(i)) for i in ids if i % 3 == 0], "key long, node string")
+    nodes = members.select("node").distinct().withColumn("n", F.lit(1))
+    known = F.broadcast(spark.createDataFrame(sorted(named), "u string, v string"))
+    confirm = lambda pairs: pairs.join(known, (F.least("a", "b") == F.col("u")) & (F.greatest("a", "b") == F.col("v"))).select("a", "b")
+    parent = {node(i): node(i) for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in named:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    found = classes(members, nodes, lambda x, y: F.col(f"{x}.n") == F.col(f"{y}.n"), confirm, deals=(8, 32))
+    assert sorted(map(tuple, found.collect())) == sorted((x, root(x)) for x in parent if root(x) != x)
+
+
 def brute_passages(rows, k):
     first = {}
     cut = [(d, (t or "").encode().split()) for d, t in rows]

@@ -105,8 +105,13 @@ def requirement_rows(lineitem: DataFrame, part: DataFrame, orders: DataFrame) ->
     """A row a child of a listing, with its dictionary entry and its place in the listing."""
     entry = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("value"), F.col("p_brand").alias("category"))
     parent = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("listing_status"))
+    return requirement_columns(lineitem.join(entry, "l_partkey").join(parent, "l_orderkey"))
+
+
+def requirement_columns(children: DataFrame) -> DataFrame:
+    """The columns of requirement rows over children that have their entry's value and category and their listing's status."""
     kind = F.when(F.col("l_returnflag") == "R", "SKILL").when(F.col("l_returnflag") == "A", "EXPERIENCE").otherwise("OTHER")
-    return lineitem.join(entry, "l_partkey").join(parent, "l_orderkey").select(
+    return children.select(
         "l_orderkey", F.col("l_linenumber").alias("sort_order"), "l_partkey", "l_suppkey", kind.alias("type"), "value", "category", F.bround("l_discount", 4).alias("confidence"), "listing_status"
     )
 

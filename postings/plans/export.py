@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ PRIVATE_VALUES = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "phone": r"(?:\+62|\b62|\b0)8[0-9](?:[ .-]?[0-9]){7,10}\b",
 }
+#: Texts of which each match of a pattern holds one: the pattern runs only over texts that do.
+PARTS = {"email": ("@",), "phone": ("628", "08")}
 
 
 class PrivateData(ValueError):
@@ -35,7 +38,8 @@ def private_columns(columns: list[str]) -> list[str]:
 def private_values(df: DataFrame) -> dict[str, Column]:
     """Name "column|kind" to the number of rows whose text column holds such a value."""
     texts = [c for c, kind in df.dtypes if kind == "string"]
-    return {f"{c}|{kind}": F.count_if(F.col(c).rlike(pattern)) for c in texts for kind, pattern in PRIVATE_VALUES.items()}
+    may = lambda c, kind: reduce(Column.__or__, (F.contains(F.col(c), F.lit(part)) for part in PARTS[kind]))
+    return {f"{c}|{kind}": F.count_if(may(c, kind) & F.col(c).rlike(pattern)) for c in texts for kind, pattern in PRIVATE_VALUES.items()}
 
 
 @dataclass
@@ -51,14 +55,19 @@ def frames(orders: DataFrame, customer: DataFrame, lineitem: DataFrame, part: Da
     """The outputs of one base: listings, requirements, skills, signals and model rows. The base is written once and read by all."""
     base = materialize(dataset.listing_base(orders, customer, lineitem, events), "export-base")
     chosen = base.select(F.col("o_orderkey"), "o_orderstatus", "o_orderdate", "o_custkey")
-    children = lineitem.join(chosen.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    listing = chosen.select(F.col("o_orderkey").alias("listing"), F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_seen"))
-    skill = children.select(F.col("l_orderkey").alias("listing"), F.col("l_partkey").alias("skill"), F.bround("l_discount", 4).alias("confidence"))
-    entries = part.select(F.col("p_partkey").alias("skill"), F.col("p_name").alias("name"), F.col("p_type").alias("category"))
+    # each child is joined with its listing and its entry once, for requirements and skills
+    listing = chosen.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("listing_status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_seen"))
+    entry = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("value"), F.col("p_brand").alias("category"), "p_type")
+    child = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_discount")
+    children = materialize(child.join(listing, "l_orderkey").join(entry, "l_partkey"), "export-children")
+    skill = children.select(
+        F.col("l_orderkey").alias("listing"), F.col("l_partkey").alias("skill"), F.col("value").alias("name"), F.col("p_type").alias("category"), F.bround("l_discount", 4).alias("confidence"),
+        F.col("listing_status").alias("status"), "last_seen",
+    )
     features = dataset.listing_features(base)
     ready = dataset.readiness(F.col("completeness") / 100, F.col("n_requirements") > 0, F.col("n_skills") > 0, F.col("tier") == "tier_1")
     return {
-        "job_listings": features, "job_requirements": dataset.requirement_rows(children, part, chosen), "job_skills": relations.skill_rows(skill, entries, listing),
+        "job_listings": features, "job_requirements": dataset.requirement_columns(children), "job_skills": relations.skill_columns(skill),
         "job_user_signals": dataset.signal_rows(chosen, events), "job_model_dataset": features.select("o_orderkey", "split", "tier", *(c.alias(f"{n}_readiness") for n, c in ready.items())),
     }
 

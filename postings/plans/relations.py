@@ -14,7 +14,11 @@ from postings.sources import embedded
 
 def skill_rows(children: DataFrame, entries: DataFrame, listings: DataFrame) -> DataFrame:
     """A row a skill of a listing: children (listing, skill, confidence), entries (skill, name, category), listings (listing, status, last_seen); a zero confidence is left out."""
-    row = children.join(entries, "skill").join(listings, "listing")
+    return skill_columns(children.join(entries, "skill").join(listings, "listing"))
+
+
+def skill_columns(row: DataFrame) -> DataFrame:
+    """The columns of skill rows over children that have their entry's and their listing's columns."""
     slug = F.regexp_replace(F.lower(F.trim("name")), "[^a-z0-9]+", "-")
     kept = F.when(F.col("confidence") != 0, F.col("confidence"))
     return row.select("listing", "skill", F.trim("name").alias("name"), slug.alias("slug"), F.trim("category").alias("category"), kept.alias("confidence"), F.upper("status").alias("status"), "last_seen")

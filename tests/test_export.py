@@ -50,6 +50,30 @@ def test_planted_personal_data_stops_the_export(spark, planted, kind):
     assert e.value.found == [("b", "text", kind, 1)]
 
 
+def test_children_are_joined_once_and_give_the_operators_rows(spark):
+    from postings.plans import dataset, relations
+
+    orders, customer, lineitem, part, events = tables(spark)
+    made = export.frames(orders, customer.where("c_custkey % 3 = 0"), lineitem, part, events)
+    assert not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in (made["job_requirements"], made["job_skills"]))
+    chosen = orders.join(customer.where("c_custkey % 3 = 0"), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    want = dataset.requirement_rows(lineitem, part, chosen)
+    assert made["job_requirements"].columns == want.columns and made["job_requirements"].exceptAll(want).isEmpty() and want.exceptAll(made["job_requirements"]).isEmpty()
+    children = lineitem.select(F.col("l_orderkey").alias("listing"), F.col("l_partkey").alias("skill"), F.bround("l_discount", 4).alias("confidence"))
+    entries = part.select(F.col("p_partkey").alias("skill"), F.col("p_name").alias("name"), F.col("p_type").alias("category"))
+    want = relations.skill_rows(children, entries, chosen.select(F.col("o_orderkey").alias("listing"), F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_seen")))
+    assert made["job_skills"].columns == want.columns and made["job_skills"].exceptAll(want).isEmpty() and want.exceptAll(made["job_skills"]).isEmpty()
+
+
+def test_guard_runs_a_pattern_only_where_it_may_match(spark):
+    texts = ["a.b@c.de", "a@b", "0812-3456-7890", "+62812 3456 7890", "62812 3456 7890", "x08123456789", "no 8 12", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = [F.count_if(F.col("t").rlike(p)).alias(k) for k, p in export.PRIVATE_VALUES.items()]
+    found = export.private_values(df)
+    assert df.agg(*(m.alias(k.split("|")[1]) for k, m in found.items())).first() == df.agg(*plain).first() == (1, 3)
+    assert all("contains" in str(m).lower() for m in found.values())
+
+
 def test_private_columns(spark):
     assert export.private_columns(["o_orderkey", "last_user_id", "Email", "n_events", "emailed", "work_phone_2"]) == ["last_user_id", "Email", "work_phone_2"]
     with pytest.raises(export.PrivateData):

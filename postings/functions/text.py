@@ -48,7 +48,7 @@ def paragraph_count(c: Column, plain: Column | None = None) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(c, F.lit("")), SPACE), lambda w: w != "")).cast("long")
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"(?U)\S+")).cast("long")
 
 
 def token_estimate(c: Column, words: Column | None = None) -> Column:
@@ -78,14 +78,17 @@ def looks_indonesian(c: Column) -> Column:
     return total >= 2
 
 
+def _tokens(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]{3,}"), F.lit(0))
+
+
 def keywords(*columns: Column, most: int = 50) -> Column:
     """Sorted distinct ASCII tokens of three characters or more."""
-    tokens = F.split(F.lower(F.concat_ws(" ", *columns)), "[^a-zA-Z0-9]+")
-    return F.slice(F.array_sort(F.array_distinct(F.filter(tokens, lambda t: F.length(t) >= 3))), 1, most)
+    return F.slice(F.sort_array(F.array_distinct(_tokens(F.concat_ws(" ", *columns)))), 1, most)
 
 
 def role_keywords(title: Column, most: int = 30) -> Column:
-    return F.slice(F.filter(F.split(F.lower(title), "[^a-zA-Z0-9]+"), lambda t: F.length(t) >= 3), 1, most)
+    return F.slice(_tokens(title), 1, most)
 
 
 def once(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -104,9 +107,11 @@ def first_by(values: Column, key: Callable[[Column], Column]) -> Column:
     return F.transform(F.sort_array(F.filter(firsts, lambda e: e.isNotNull())), lambda e: e["x"])
 
 
-def text_quality(description: Column, summary: Column) -> Column:
-    a = F.when(F.length(strip_tags(description)) >= 80, 7).otherwise(0)
-    b = F.when(F.length(strip_tags(summary)) >= 20, 3).otherwise(0)
+def text_quality(description: Column, summary: Column, plain: bool = False) -> Column:
+    """Points for texts of some length, tags aside; ``plain`` texts have none."""
+    a, b = (c if plain else strip_tags(c) for c in (description, summary))
+    a = F.when(F.length(a) >= 80, 7).otherwise(0)
+    b = F.when(F.length(b) >= 20, 3).otherwise(0)
     return ((a + b) * 10).cast("int")
 
 

@@ -53,45 +53,68 @@ def _json(c: Column) -> Column:
 
 def joined(separator: str, *parts: Column) -> Column:
     """Parts that aren't empty, between separators."""
-    return F.array_join(F.filter(F.array(*parts), lambda x: x != ""), separator)
+    return F.concat_ws(separator, *(F.when(x != "", x) for x in parts))
+
+
+def ordered(c: Column) -> Column:
+    """Distinct elements in order, null last."""
+    s = F.sort_array(F.array_distinct(c))
+    return F.when((F.size(s) > 0) & F.get(s, F.lit(0)).isNull(), F.concat(F.slice(s, 2, F.size(s)), F.array(F.lit(None).cast("string")))).otherwise(s)
+
+
+def count_of(values: str, value: str) -> Column:
+    return F.size(values) - F.size(F.array_remove(values, value))
 
 
 def prepared(base: DataFrame) -> DataFrame:
-    """Base rows with everything that several columns use, each once, in layers."""
+    """Base rows with everything that several columns use, each once, in layers.
+
+    Lambdas, and all that stands in their arguments, are interpreted, so lists are taken apart by
+    functions that are compiled: requirements are sorted by type once, and a type's are a slice.
+    Every wide layer keeps one lambda: it is then compiled as a projection in many methods, where
+    lambda-free layers would become one method too large for the JVM to compile.
+    """
     words = [c for c, kind in base.dtypes if kind == "string"]
     df = base.select(*(F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) if c in words else F.col(c) for c in base.columns))
     empty = {c: F.coalesce(F.col(c), F.array().cast(base.schema[c].dataType)) for c in ("requirements", "skills")}
     df = df.withColumns(empty | {c: F.upper(F.col(c)) for c in ("work_type", "employment_type", "experience_level", "salary_period", "status")})
-    of_type = lambda t: F.transform(F.filter("requirements", lambda r: r["type"] == t), lambda r: r["value"])
+    r, s = F.col("requirements"), F.col("skills")
     df = df.withColumns({
-        "values": F.transform("requirements", lambda r: r["value"]), "names": F.transform("skills", lambda s: s["name"]), "slugs": F.transform("skills", lambda s: s["slug"]),
-        "categories": F.transform("skills", lambda s: s["category"]), **{t.lower(): of_type(t) for t in TYPES}, "plain_description": text.strip_tags(F.col("description")), "plain_summary": text.strip_tags(F.col("requirement_summary")),
+        "types": r["type"], "number": F.transform("requirements", lambda r, i: i), "priorities": r["priority"], "values": r["value"], "names": s["name"], "slugs": s["slug"], "categories": s["category"],
+        "items": F.arrays_zip(r["priority"], r["sort_order"], r["type"], r["value"]).cast("array<struct<priority: string, sort_order: int, type: string, value: string>>"),
+        "plain_description": text.strip_tags(F.col("description")), "plain_summary": text.strip_tags(F.col("requirement_summary")),
         "place": joined(" | ", F.col("location_display"), F.col("province"), F.col("city")),
         "pay": joined(" | ", F.col("salary_display"), F.coalesce(F.nullif("salary_min", F.lit(0)).cast("string"), F.lit("")), F.coalesce(F.nullif("salary_max", F.lit(0)).cast("string"), F.lit("")), F.col("salary_currency"), F.col("salary_period")),
         "group_key": F.concat_ws("|", F.lower("source"), F.lower("company_name"), F.lower(F.when(F.col("normalized_title") != "", F.col("normalized_title")).otherwise(F.col("title")))),
     })
-    # each name is looked up in the required ones: the contract allows a listing 100 relations
+    df = df.withColumn("by_type", F.sort_array(F.arrays_zip("types", "number", "items").cast(f"array<struct<type: string, number: int, item: {df.schema['items'].dataType.elementType.simpleString()}>>")))
+    of_type = {t.lower(): F.slice(F.col("by_type")["item"], F.greatest(F.lit(1), F.array_position(F.col("by_type")["type"], t)).cast("int"), count_of("types", t)) for t in TYPES}
     df = df.withColumns({
-        "optional": F.filter("names", lambda n: ~F.array_contains("skill", n)), "value_text": F.array_join("values", " ; "), "name_text": F.array_join("names", " ; "),
+        **{f"{t}_items": x for t, x in of_type.items()}, **{t: x["value"] for t, x in of_type.items()}, "high": F.filter("requirements", lambda r: r["priority"] == "HIGH")["value"],
+        "value_text": F.array_join("values", " ; "), "name_text": F.array_join("names", " ; "),
         "priority": F.when(F.col("stale"), "low").when(F.col("fit_quality") >= 70, "high").otherwise("medium"),
     })
-    return df.withColumn("context", joined("\n", *(F.col(c) for c in ("title", "normalized_title", "company_name", "category", "place", "pay", "plain_description", "plain_summary", "value_text", "name_text"))))
+    # each name is looked up in the required ones: the contract allows a listing 100 relations
+    df = df.withColumns({
+        "optional": F.filter("names", lambda n: ~F.array_contains("skill", n)),
+        "context": joined("\n", *(F.col(c) for c in ("title", "normalized_title", "company_name", "category", "place", "pay", "plain_description", "plain_summary", "value_text", "name_text"))),
+    })
+    return df.withColumns({f"{c}_json": _json(F.col(c)) for c in ("values", "names", "slugs", "skill", "optional", "experience")})
 
 
 def columns() -> dict[str, Column]:
     """The header: name to what it holds, over ``prepared`` rows. Texts are never null; numbers are where nothing is known."""
     c, flag = F.col, lambda x: F.coalesce(x, F.lit(False)).cast("int")
     first = lambda name: F.coalesce(F.get(name, F.lit(0)), F.lit(""))
-    few = lambda name, n: _json(F.slice(name, 1, n))
+    few = lambda name, n: F.when(F.size(name) <= n, c(f"{name}_json")).otherwise(_json(F.slice(name, 1, n)))
     share = F.col("completeness") / 100
     scores = dataset.readiness(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)), F.size("requirements") > 0, F.size("skills") > 0, F.col("description") != "")
     by_name = dict(sorted(scores.items()))
     blocked = {t: F.when(s >= dataset.READY, F.array().cast("array<string>")).otherwise(F.array(F.lit("insufficient_job_context"))) for t, s in by_name.items()}
-    reqs = lambda t: _json(F.transform(F.filter("requirements", lambda r: r["type"] == t) if t else c("requirements"), lambda r: F.struct(r["priority"].alias("priority"), r["sort_order"].alias("sort_order"), r["type"].alias("type"), r["value"].alias("value"))))
-    counted = lambda field, keys: _json(F.struct(*(F.size(F.filter("requirements", lambda r: r[field] == k)).alias(k) for k in sorted(keys))))
-    skill_rows = F.transform("skills", lambda s: F.struct(s["category"].alias("category"), F.lit(None).cast("double").alias("confidence"), s["name"].alias("name"), s["slug"].alias("slug")))
+    reqs = lambda t: _json(c(f"{t.lower()}_items"))
+    counted = lambda field, keys: _json(F.struct(*(count_of(field, k).alias(k) for k in sorted(keys))))
+    skill_rows = F.arrays_zip("categories", F.array_repeat(F.lit(None).cast("double"), F.size("skills")), "names", "slugs").cast("array<struct<category: string, confidence: double, name: string, slug: string>>")
     n_required, n_skills = F.size("skill"), F.size("names")
-    high = F.transform(F.filter("requirements", lambda r: r["priority"] == "HIGH"), lambda r: r["value"])
     rank = c("detail_readiness") + c("fit_quality") + c("n_interview") * 5
     prefer = F.struct(c("employment_type"), c("experience_level"), c("location_display").alias("location"), c("salary_display"), c("work_type"))
     steps = {k: fixed_json(v) for k, v in STEPS.items()}
@@ -114,15 +137,15 @@ def columns() -> dict[str, Column]:
         "label_salary_bucket": salary.bucket(c("salary_min"), c("salary_max")), "label_location_city": c("city"), "label_location_province": c("province"), "label_is_remote_friendly": flag(c("work_type") == "REMOTE"),
         "label_is_entry_level_friendly": flag(c("experience_level").isin("ENTRY_LEVEL", "JUNIOR")), "label_is_tech_or_digital_role": flag(roles.is_tech(F.concat_ws(" ", c("title"), c("names")))),
         "label_job_search_rank_bucket": F.when(rank >= 170, "top").when(rank >= 120, "mid").otherwise("low"), "label_recommendation_candidate_tier": dataset.recommendation_tier(c("stale"), c("fit_quality")),
-        "skills_json": _json(skill_rows), "skill_slugs_json": _json(c("slugs")), "skill_names_json": _json(c("names")), "skill_categories_json": _json(F.array_sort(F.array_distinct("categories"))), "skill_count": n_skills,
+        "skills_json": _json(skill_rows), "skill_slugs_json": c("slugs_json"), "skill_names_json": c("names_json"), "skill_categories_json": _json(ordered(c("categories"))), "skill_count": n_skills,
         "skill_confidence_avg": c("confidence_avg"), "skill_source_quality": F.when(n_skills > 0, "explicit").otherwise("fallback"), "primary_skill_slug": first("slugs"), "primary_skill_category": first("categories"),
-        "required_skill_keywords_json": _json(c("skill")), "optional_skill_keywords_json": _json(c("optional")), "skill_embedding_text": c("name_text"),
-        "requirements_json": reqs(None), **{f"requirements_{t.lower()}_json": reqs(t) for t in TYPES}, "requirements_count_total": F.size("requirements"),
-        "requirements_type_distribution_json": counted("type", TYPES), "requirements_priority_distribution_json": counted("priority", PRIORITIES),
-        "requirement_classification_quality_score": dataset.classified_quality(F.transform("requirements", lambda r: r["type"]), F.transform("requirements", lambda r: r["priority"])),
-        "requirement_keywords_json": few("values", 40), "ats_keywords_json": _json(F.slice(F.array_sort(F.array_distinct(F.concat("names", "skill"))), 1, 50)), "important_requirement_highlights_json": _json(F.slice(high, 1, 10)),
-        "fit_context_skills_required_json": _json(c("skill")), "fit_context_experience_requirements_json": _json(c("experience")), "fit_context_education_requirements_json": _json(c("education")), "fit_context_responsibilities_json": _json(c("responsibility")),
-        "fit_context_preferences_json": _json(prefer), "skill_gap_target_skills_json": _json(c("slugs")), "skill_gap_core_skills_json": few("skill", 20), "skill_gap_optional_skills_json": few("optional", 20),
+        "required_skill_keywords_json": c("skill_json"), "optional_skill_keywords_json": c("optional_json"), "skill_embedding_text": c("name_text"),
+        "requirements_json": _json(c("items")), **{f"requirements_{t.lower()}_json": reqs(t) for t in TYPES}, "requirements_count_total": F.size("requirements"),
+        "requirements_type_distribution_json": counted("types", TYPES), "requirements_priority_distribution_json": counted("priorities", PRIORITIES),
+        "requirement_classification_quality_score": dataset.classified_quality(c("types"), c("priorities")),
+        "requirement_keywords_json": few("values", 40), "ats_keywords_json": _json(F.slice(ordered(F.concat("names", "skill")), 1, 50)), "important_requirement_highlights_json": _json(F.slice("high", 1, 10)),
+        "fit_context_skills_required_json": c("skill_json"), "fit_context_experience_requirements_json": c("experience_json"), "fit_context_education_requirements_json": _json(c("education")), "fit_context_responsibilities_json": _json(c("responsibility")),
+        "fit_context_preferences_json": _json(prefer), "skill_gap_target_skills_json": c("slugs_json"), "skill_gap_core_skills_json": few("skill", 20), "skill_gap_optional_skills_json": few("optional", 20),
         "readiness_signal_level": c("priority"), "candidate_matching_weight_json": fixed_json(WEIGHTS), "job_fit_feature_vector_json": _json(F.array(c("fit_quality"), n_required, n_skills)),
         "preference_match_feature_vector_json": _json(F.array(*(flag(c(x) != "") for x in ("work_type", "location_display", "salary_display")))),
         "experience_match_feature_vector_json": _json(F.array(roles.seniority_number(c("experience_level")), n_required)), "skill_match_feature_vector_json": _json(F.array(n_skills, n_required, F.size(F.array_distinct("slugs")))),
@@ -132,7 +155,7 @@ def columns() -> dict[str, Column]:
         "weak_label_search_relevance_keywords_json": _json(text.keywords(c("title"), c("normalized_title"), c("category"), c("province"), c("city"))), "weak_label_role_keywords_json": _json(text.role_keywords(c("title"))),
         "weak_label_readiness_level": c("priority"), "weak_label_success_probability_bucket": F.when(c("n_accepted") > 0, "high").when((c("priority") == "high") & (c("n_rejected") == 0), "medium").otherwise("low"),
         "weak_label_actionable_next_steps_json": F.when(c("priority") == "high", steps["high"]).when(c("priority") == "medium", steps["medium"]).otherwise(steps["low"]),
-        "text_quality_score": text.text_quality(c("description"), c("requirement_summary")), "normalization_completeness_score": c("completeness"),
+        "text_quality_score": text.text_quality(c("plain_description"), c("plain_summary"), plain=True), "normalization_completeness_score": c("completeness"),
         "model_input_token_estimate": F.when(c("context") == "", 0).otherwise(text.token_estimate(c("context"))), "has_minimum_model_context": flag(c("context") != ""),
         "missing_model_context_fields_json": _json(wording.missing_context(c("title"), c("description"), c("values"), c("names"))),
         "source_posted_at": F.coalesce(dates.iso_z(c("source_posted_at")), F.lit("")), "last_seen_at": F.coalesce(dates.iso_z(c("last_seen_at")), F.lit("")), "status": c("status"),
@@ -156,7 +179,9 @@ def queries(table: Callable) -> dict[str, tuple[Callable, str | None]]:
         k, t = F.col("o_orderkey"), lambda n: table(spark, sf_dir, n)
         kind = F.when(F.col("l_quantity") < 5, "EDUCATION").when(F.col("l_quantity") > 45, "RESPONSIBILITY").when(F.col("l_returnflag") == "R", "SKILL").when(F.col("l_returnflag") == "A", "EXPERIENCE").otherwise("OTHER")
         place = F.struct(F.col("l_linenumber").cast("int").alias("n"), "l_partkey", "l_suppkey", "p_name", "p_type", kind.alias("kind"), F.when(F.col("l_quantity") > 25, "HIGH").otherwise("").alias("priority"))
-        kids = t("lineitem").join(t("part"), F.col("p_partkey") == F.col("l_partkey")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(place)).alias("kids"), F.bround(F.avg(F.bround(F.col("l_discount") * 100).cast("long")), 4).alias("confidence_avg"))
+        # by an explicit number, so that adaptive execution doesn't put the few bytes before the wide columns into as few tasks as there are cores
+        lines = t("lineitem").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+        kids = lines.join(t("part"), F.col("p_partkey") == F.col("l_partkey")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(place)).alias("kids"), F.bround(F.avg(F.bround(F.col("l_discount") * 100).cast("long")), 4).alias("confidence_avg"))
         star = t("orders").join(t("customer"), F.col("c_custkey") == F.col("o_custkey")).join(t("nation"), F.col("n_nationkey") == F.col("c_nationkey")).join(t("region"), F.col("r_regionkey") == F.col("n_regionkey"))
         star = star.join(kids, F.col("l_orderkey") == k, "left")
         pick = lambda i, *options: F.element_at(F.array(*map(F.lit, options)), (k % i + 1).cast("int"))

@@ -95,21 +95,46 @@ def payload_fields(jobs: DataFrame, keys: list[str], list_only: tuple[str, ...]
     )
 
 
-def relation_lists(rows: DataFrame, job: str, value: str, order: list[str], entry: Column) -> DataFrame:
-    """(job, list): the relations of each job in order, those of a value seen before (case and ends aside) left out.
+def skill_names(c: Column) -> Column:
+    """Skills of one staged value: split, cleaned, those that say nothing left out."""
+    return skills.sanitised_skills(F.array(c))
 
-    Equal values are put together before the rest is gathered, so a job's list holds different values only.
+
+def requirement_value(c: Column) -> Column:
+    """A staged requirement as plain text; null if it is noise or says nothing."""
+    return text.once(block_text(c), lambda v: F.when(~requirements.is_noise(v) & ~skills.is_low_signal(v), v))
+
+
+def relation_lists(rows: DataFrame, job: str, order: list[str]) -> DataFrame:
+    """(job, skills, requirements, refused): each job's relations in order, those seen before (case and ends aside) left out.
+
+    ``rows`` are staged relations (job, names, type, value, priority, confidence, origin): ``names`` as of ``skill_names``,
+    ``value`` as of ``requirement_value``; one row may be both kinds. ``refused`` is the reason if a type is outside the enum.
+    Rows are dealt by job once, as they are, and both lists are made where they arrive, so nothing larger is shuffled or sorted.
+    Rows that say the same are put together before a job's are gathered, so its list holds different ones only.
     """
-    once = rows.where(~_blank(F.col(value))).groupBy(job, F.lower(F.trim(value)).alias("folded")).agg(F.min_by(entry, F.struct(*order)).alias("entry"), F.min(F.struct(*order)).alias("at"))
-    return once.groupBy(job).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "entry"))), lambda x: x["entry"]).alias("list"))
+    said = ["names", "type", "value", "priority"]
+    rows = rows.select(*dict.fromkeys([job, *said, *order, "confidence", "origin"])).repartition(job)
+    rows = rows.withColumns({"type": F.upper(F.trim("type")), "priority": F.upper(F.trim("priority"))})
+    at = F.struct(*order, F.col("confidence").cast("double").alias("_confidence"), F.col("origin").alias("_origin"))
+    once = rows.groupBy(job, *said).agg(F.min(at).alias("at"))
+    lists = once.groupBy(job).agg(F.sort_array(F.collect_list(F.struct("at", *said))).alias("all"))
+    valid = lambda r: F.coalesce(r["type"].isin(*REQUIREMENT_TYPES), F.lit(False))
+    confidence, origin = lambda r: r["at"]["_confidence"].alias("confidence"), lambda r: r["at"]["_origin"].alias("source")
+    named = F.flatten(F.transform("all", lambda r: F.transform(r["names"], lambda n: F.struct(F.trim(n).alias("name"), confidence(r), origin(r)))))
+    told = F.filter("all", lambda r: valid(r) & ~_blank(r["value"]))
+    wanted = F.transform(told, lambda r: F.struct(r["type"].alias("type"), r["value"].alias("value"), r["priority"].alias("priority"), confidence(r), origin(r)))
+    return lists.select(
+        job, text.first_by(named, lambda x: F.lower(x["name"])).alias("skills"), text.first_by(wanted, lambda x: F.lower(F.trim(F.concat_ws(" ", x["type"], x["value"])))).alias("requirements"),
+        F.when(F.exists("all", lambda r: ~valid(r)), F.lit("bad_requirement_type")).alias("refused"),
+    )
 
 
 def job_skills(rows: DataFrame, job: str, order: list[str]) -> DataFrame:
     """(job, list) of staged skills (job, value, confidence, origin): split, cleaned, each once, those that say nothing left out."""
-    place, = unused(rows, "place")
-    parts = rows.select("*", F.posexplode(skills.sanitised_skills(F.array("value"))).alias(place, "name"))
-    entry = F.struct(F.trim("name").alias("name"), F.col("confidence").cast("double").alias("confidence"), F.col("origin").alias("source"))
-    return relation_lists(parts, job, "name", [*order, place], entry)
+    none = F.lit(None).cast("string")
+    named = rows.withColumns({"names": skill_names(F.col("value")), "type": F.lit("OTHER"), "value": none, "priority": none})
+    return relation_lists(named, job, order).select(job, F.col("skills").alias("list")).where(F.size("list") > 0)
 
 
 def job_requirements(rows: DataFrame, job: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -117,16 +142,10 @@ def job_requirements(rows: DataFrame, job: str, order: list[str]) -> tuple[DataF
 
     Noise and what says nothing is left out; a type outside the enum rejects its job. Lists hold a value once a type.
     """
-    rows = rows.withColumns({"type": F.upper(F.trim("type")), "value": block_text(F.col("value"))})
-    valid = F.coalesce(F.col("type").isin(*REQUIREMENT_TYPES), F.lit(False))
-    bad = rows.where(~valid).select(job, F.lit("bad_requirement_type").alias("reason")).distinct()
-    # the row number keeps the condition above the cleaned value, which it mentions many times
-    place, = unused(rows, "row")
-    told = F.col("value").isNotNull() & ~requirements.is_noise(F.col("value")) & ~skills.is_low_signal(F.col("value"))
-    kept = rows.where(valid).withColumn(place, F.monotonically_increasing_id()).where(told & (F.col(place) >= 0)).drop(place)
-    entry = F.struct("type", "value", F.upper(F.trim("priority")).alias("priority"), F.col("confidence").cast("double").alias("confidence"), F.col("origin").alias("source"))
-    keyed = kept.withColumn("key", F.concat_ws(" ", "type", "value"))
-    return relation_lists(keyed, job, "key", order, entry), bad
+    told = rows.withColumns({"names": F.array().cast("array<string>"), "value": requirement_value(F.col("value"))})
+    lists = relation_lists(told, job, order)
+    bad = lists.where("refused is not null").select(job, F.col("refused").alias("reason"))
+    return lists.select(job, F.col("requirements").alias("list")).where(F.size("list") > 0), bad
 
 
 def orphan_relations(rows: DataFrame, job: str, jobs: DataFrame, key: str, name: str) -> DataFrame:
@@ -150,21 +169,30 @@ def contract_rules() -> dict[str, Column]:
     return rules
 
 
+def _judged(both: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``consumer_payloads`` of fields with lists ``skills`` and ``requirements`` (null: none) and reasons ``refused`` (null: none)."""
+    both = both.withColumns({c: F.coalesce(c, F.array()) for c in ("skills", "requirements")})
+    judged = both.withColumn("reasons", F.concat(violations(contract_rules()), F.coalesce("refused", F.array().cast("array<string>")))).drop("refused")
+    good, bad = parted(judged, "reasons")
+    return good.drop("reasons"), bad.select(*keys, "reasons")
+
+
 def consumer_payloads(fields: DataFrame, keys: list[str], skill_lists: DataFrame, requirement_lists: DataFrame, rejected: DataFrame, job: str) -> tuple[DataFrame, DataFrame]:
     """((keys, fields, lists), (keys, reasons)): jobs that keep the contract, and the others with every rule they break.
 
     ``rejected`` (job, reason) are jobs that a relation has rejected. Jobs without relations have empty lists.
     """
-    lists = lambda df, name: df.select(F.col(job).alias(f"of_{name}"), F.col("list").alias(name))
     both = fields
     for df, name in ((skill_lists, "skills"), (requirement_lists, "requirements")):
-        both = both.join(lists(df, name), F.col(keys[0]) == F.col(f"of_{name}"), "left").drop(f"of_{name}")
-        both = both.withColumn(name, F.coalesce(name, F.array()))
+        both = both.join(df.select(F.col(job).alias(f"of_{name}"), F.col("list").alias(name)), F.col(keys[0]) == F.col(f"of_{name}"), "left").drop(f"of_{name}")
     reasons = rejected.groupBy(F.col(job).alias("of_job")).agg(F.array_sort(F.collect_set("reason")).alias("refused"))
-    both = both.join(reasons, F.col(keys[0]) == F.col("of_job"), "left").drop("of_job")
-    judged = both.withColumn("reasons", F.concat(violations(contract_rules()), F.coalesce("refused", F.array().cast("array<string>")))).drop("refused")
-    good, bad = parted(judged, "reasons")
-    return good.drop("reasons"), bad.select(*keys, "reasons")
+    return _judged(both.join(reasons, F.col(keys[0]) == F.col("of_job"), "left").drop("of_job"), keys)
+
+
+def related_payloads(fields: DataFrame, keys: list[str], relations: DataFrame, job: str) -> tuple[DataFrame, DataFrame]:
+    """``consumer_payloads`` of fields and ``relation_lists``, which are dealt alike: the join moves the fields only."""
+    both = fields.join(relations.withColumnRenamed(job, "of_job").withColumn("refused", F.array_compact(F.array("refused"))), F.col(keys[0]) == F.col("of_job"), "left")
+    return _judged(both.drop("of_job"), keys)
 
 
 def payload_json(valid: DataFrame, keys: list[str]) -> DataFrame:

@@ -129,3 +129,24 @@ def test_levels_are_opened_in_one_pass_and_written_once(spark, monkeypatch):
     assert len(written) == 1
     assert sorted((r.family, r.text) for r in found.where("k = 1").collect()) == [("description", "both kinds"), ("skill", "both kinds")]
     assert nested.scalars(rows_of(spark, {"a": {"b": {"c": {"d": {"e": {"f": [{"g": ["low", {}]}]}}}}}}), ["k"], "j").count() == 1
+
+
+def test_relations_are_dealt_by_job_once(spark):
+    rows = [(0, 2, "go / SQL", "skill", " Works with  SQL daily ", "s"), (0, 1, "SQL", "SKILL", "works with sql daily", "s"), (0, 3, "SQL", "other", "works with sql daily", "s"), (0, 9, "SQL", "SKILL", "works with sql daily", "s"), (1, 1, "soft skills", "other", "bonus", "s"), (2, 1, "Rust", None, "leads a large team", "s")]
+    rows = spark.createDataFrame(rows, "job long, at int, skill string, type string, said string, origin string").withColumns({"confidence": F.col("at") / 10, "priority": F.lit("low")})
+    made = rows.withColumns({"names": contract.skill_names(F.col("skill")), "value": contract.requirement_value(F.col("said"))})
+    both = contract.relation_lists(made, "job", ["at"])
+    got = {r.job: ([tuple(x) for x in r.skills], [tuple(x) for x in r.requirements], r.refused) for r in both.collect()}
+    wanted = [("SKILL", "works with sql daily", "LOW", 0.1, "s"), ("OTHER", "works with sql daily", "LOW", 0.3, "s")]
+    assert got == {0: ([("SQL", 0.1, "s"), ("go", 0.2, "s")], wanted, None), 1: ([], [], None), 2: ([("Rust", 0.1, "s")], [], "bad_requirement_type")}
+    assert contract.job_requirements(rows.withColumn("value", F.col("said")), "job", ["at"])[1].collect() == [(2, "bad_requirement_type")]
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(both.select("*")) == 1 and shuffles(contract.job_skills(rows.withColumn("value", F.col("skill")), "job", ["at"])) == 1
+
+
+def test_payload_queries_read_lines_once(spark):
+    import __spark_entry__ as entry
+
+    for name in ("consumer_payloads", "rejected_payloads"):
+        plan = entry.queries()[name](spark, entry.SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") == 1 and "posexplode" not in plan

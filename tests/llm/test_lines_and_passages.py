@@ -4,6 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from postings.llm import common, line_dedup
 from postings.llm.common import classes
 from postings.llm.line_dedup import DISTANCE, dedup_lines, normal, shared_buckets, simhashes
 from postings.llm.passages import drop_repeats, super_kmers
@@ -160,3 +161,40 @@ def test_super_kmers_cover_every_window_once():
     least, first, n = super_kmers(h, 13, 3, np.empty(0, np.uint64))
     assert n.sum() == 500 - 12 and (first == np.concatenate([[0], np.cumsum(n)[:-1]])).all()
     assert (least[1:] != least[:-1]).all() and len(least) < 200
+
+
+def test_lines_compared_together_are_judged_like_single_ones():
+    """Edited, moved and unlike lines of many lengths (word boundaries of 64 included), some characters far apart."""
+    r, s, t = random.Random(5), [], []
+    for i in range(1500):
+        a = [r.choice("abc é日") for _ in range((1, 5, 30, 63, 64, 65, 127, 128, 129, 300)[i % 10])]
+        b = a[len(a) // 8 :] + a[: len(a) // 8] if r.random() < 0.2 else list(a)
+        for _ in range(r.randint(0, len(a) // 3)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randint(0, 1)] = r.choice(["", "a", "é"])
+        s.append("".join(a))
+        t.append("".join(b))
+    for percent in (60, 80, 90):
+        want = [line_dedup.alike(x, y, percent) for x, y in zip(s, t, strict=True)]
+        assert line_dedup.alikes(s, t, percent).tolist() == want and any(want) and not all(want)
+
+
+def test_open_buckets_are_compared_in_tasks(spark, monkeypatch):
+    """Buckets of one block, of several, and a class given before: every two classes with a link are joined, and pairs are no rows."""
+    monkeypatch.setattr(common, "CELL", 40)
+    r = random.Random(7)
+    lines = {}
+    for i in range(60):  # groups of three: the first two alike, the third far from both
+        a = "".join(r.choice("abcdefgh ") for _ in range(90))
+        lines |= {b"%03d" % (3 * i): a, b"%03d" % (3 * i + 1): a[:40] + "xyz" + a[44:], b"%03d" % (3 * i + 2): "".join(r.choice("abcdefgh ") for _ in range(90))}
+    bits = line_dedup.simhashes([x.encode() for x in lines.values()]).view(">i8").astype("int64").tolist()
+    texts = spark.createDataFrame([(bytearray(k), x, *b) for (k, x), b in zip(lines.items(), bits, strict=True)], "node binary, words string, hi long, lo long")
+    open_ = spark.createDataFrame([(key, bytearray(k), bytearray(k)) for key in (1, 2) for k in lines if key == 1 or int(k) < 30], "key long, node binary, class binary")
+    found = spark.createDataFrame([], "node binary, component binary")
+    compare = lambda cells: line_dedup.compared(cells, texts, 80)
+    got = {(bytes(x.node), bytes(x.component)) for x in common.in_cells(open_, found, compare).collect() if x.node != x.component}
+    near = line_dedup.near_pairs
+    assert got == {(b"%03d" % (3 * i + 1), b"%03d" % (3 * i)) for i in range(60)}
+    signed = np.array([-1, 1, -1], np.int64).view(np.uint64)
+    same = near(np.zeros(3, int), np.zeros(3, bool), np.zeros(3, int), np.arange(3), np.full(3, 90), signed, signed, 80)
+    assert same.tolist() == [[0, 2]]

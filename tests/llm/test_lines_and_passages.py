@@ -198,3 +198,21 @@ def test_open_buckets_are_compared_in_tasks(spark, monkeypatch):
     signed = np.array([-1, 1, -1], np.int64).view(np.uint64)
     same = near(np.zeros(3, int), np.zeros(3, bool), np.zeros(3, int), np.arange(3), np.full(3, 90), signed, signed, 80)
     assert same.tolist() == [[0, 2]]
+
+
+def test_long_unlike_lines_are_ruled_out_on_the_way(monkeypatch):
+    r = random.Random(8)
+    looks = []
+    least = line_dedup._least_end
+    monkeypatch.setattr(line_dedup, "_least_end", lambda *a: looks.append(least(*a)) or looks[-1])
+    for n in (257, 300, 700):
+        a = "".join(r.choice("abcdefg ") for _ in range(n))
+        for changes in (0, n // 6, n // 4, n):
+            b = list(a)
+            for _ in range(changes):
+                k = r.randrange(len(b) + 1)
+                b[k : k + r.randint(0, 1)] = r.choice(["", "x", "a"])
+            b, seen = "".join(b), len(looks)
+            d = edits(a, b)
+            assert [line_dedup.close(a, b, k) for k in (d - 1, d, d + 1)] == [False, True, True] and line_dedup.close(b, a, d) and all(x <= d for x in looks[seen:])
+        assert not line_dedup.close(a, a[::-1], n // 5) and looks[-1] > n // 5
